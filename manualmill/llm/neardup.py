@@ -37,6 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from manualmill.llm.pairs import meetings, runs
 from manualmill.session import materialise
 
 TOKEN_BYTES = 5
@@ -190,54 +191,27 @@ def _match(key: np.ndarray, cls: np.ndarray, size: np.ndarray, flag: np.ndarray,
     end = np.r_[begin[1:], len(key)]
     run = np.repeat(np.arange(len(begin)), end - begin)
     whole = np.flatnonzero(((flag & 1) == 0) & (end[run] - np.arange(len(key)) > 1))  # whole ones come first: each meets what follows it
-    todo = end[run[whole]] - whole - 1
-    upto = np.cumsum(todo)
-    i = 0
-    while i < len(whole):
-        base = upto[i - 1] if i else 0
-        j = max(i + 1, int(np.searchsorted(upto, base + BLOCK, side="right")))
-        for cut in range(0, int(todo[i]) if j == i + 1 else 1, BLOCK):  # one posting with a very long list goes in several blocks
-            if j == i + 1:
-                length = np.array([min(BLOCK, int(todo[i]) - cut)])
-            else:
-                length = todo[i:j]
-            left = np.repeat(whole[i:j], length)
-            offset = np.arange(len(left)) - np.repeat(np.cumsum(length) - length, length)
-            right = left + 1 + cut + offset
-            a, b = cls[left], cls[right]
-            small, large = np.minimum(size[left], size[right]).astype(np.int64), np.maximum(size[left], size[right]).astype(np.int64)
-            ok = (a != b) & ~((flag[left] & flag[right] & 2) > 0) & (small * t.denominator >= large * t.numerator)
-            a, b = a[ok], b[ok]
-            if len(a):
-                pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-                yield pairs.groupby(["a", "b"], sort=False).size().reset_index(name="shared")
-        i = j
+    for left, right in meetings(whole, end[run[whole]] - whole - 1, BLOCK):
+        a, b = cls[left], cls[right]
+        small, large = np.minimum(size[left], size[right]).astype(np.int64), np.maximum(size[left], size[right]).astype(np.int64)
+        ok = (a != b) & ~((flag[left] & flag[right] & 2) > 0) & (small * t.denominator >= large * t.numerator)
+        a, b = a[ok], b[ok]
+        if len(a):
+            pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            yield pairs.groupby(["a", "b"], sort=False).size().reset_index(name="shared")
 
 
 def tally(packed: DataFrame, sim: Similarity, buckets: int) -> DataFrame:
     """(a, b, shared): pairs of classes and how many positional bytes they share, at least the guaranteed minimum."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple] = []
-        bucket = None
-
-        def flush():
-            if held:
-                key = np.concatenate([np.frombuffer(r[0], "<u4").astype(np.uint64) | (np.frombuffer(r[1], "<u2").astype(np.uint64) << np.uint64(32)) for r in held])
-                refs = [np.frombuffer(r[2], "<u2") for r in held]
-                cls = np.concatenate([np.frombuffer(r[3], "<i8")[x >> 2] for r, x in zip(held, refs)])
-                size = np.concatenate([np.frombuffer(r[4], "<u4")[x >> 2] for r, x in zip(held, refs)])
-                flag = np.concatenate([(x & 3).astype(np.uint8) for x in refs])
-                held.clear()
-                yield from _match(key, cls, size, flag, sim.threshold)
-
-        for b in batches:
-            for r in b.itertuples(index=False, name=None):
-                if r[0] != bucket:
-                    yield from flush()
-                    bucket = r[0]
-                held.append(r[1:])
-        yield from flush()
+        for held in runs(batches):
+            key = np.concatenate([np.frombuffer(r[0], "<u4").astype(np.uint64) | (np.frombuffer(r[1], "<u2").astype(np.uint64) << np.uint64(32)) for r in held])
+            refs = [np.frombuffer(r[2], "<u2") for r in held]
+            cls = np.concatenate([np.frombuffer(r[3], "<i8")[x >> 2] for r, x in zip(held, refs)])
+            size = np.concatenate([np.frombuffer(r[4], "<u4")[x >> 2] for r, x in zip(held, refs)])
+            flag = np.concatenate([(x & 3).astype(np.uint8) for x in refs])
+            yield from _match(key, cls, size, flag, sim.threshold)
 
     met = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(run, "a long, b long, shared long")
     return met.groupBy("a", "b").agg(F.sum("shared").alias("shared")).filter(F.col("shared") >= sim.least)
