@@ -12,6 +12,8 @@ no linked pair is lost, whatever the data.
    posted under its bytes and under its bytes less any one token.
 3. The postings (position, bytes) -> text are the inverted index. A posting that matches
    counts 1 for the pair; pairs that reach the guaranteed minimum are verified.
+   Beside its postings a text carries counters of its tokens that bound the difference of
+   two texts from below, so most chance meetings are not even counted.
 4. N has room to spare: each text may leave out the ``spare`` positions that many texts
    share (those with common tokens only, by a count sketch of all texts); of the N - k/2
    matches at most 2 * spare are lost, so ``least`` are still guaranteed.
@@ -42,7 +44,8 @@ from manualmill.session import materialise
 
 TOKEN_BYTES = 5
 SKETCH = 1 << 20  # counters, whatever the size of the collection: 4 MB
-BUCKET_POSTINGS = 3_000_000
+BUCKET_POSTINGS = 1_500_000
+COUNTERS = 32  # of 4 bits, so 16 bytes a text
 BLOCK = 500_000
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -51,7 +54,7 @@ _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F,
 class Similarity:
     threshold: Fraction = Fraction(4, 5)
     min_tokens: int = 30
-    spare: int = 4
+    spare: int = 2
     least: int = 2
 
     def bands(self, largest: int = 1 << 40) -> np.ndarray:
@@ -153,7 +156,16 @@ def postings(tokens: list[np.ndarray], sim: Similarity, bands: np.ndarray, weigh
     return np.concatenate(keys), np.concatenate(refs)
 
 
-_PACKED = "bucket int, lo binary, hi binary, ref binary, classes binary, sizes binary"
+def counters(tokens: list[np.ndarray]) -> np.ndarray:
+    """How many tokens of each text fall into each of COUNTERS parts, up to 15, two to a byte. Two texts differ in at least as many tokens as their counters do."""
+    doc, flat = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens]), np.concatenate(tokens)
+    part = (_mix(flat, _M3) >> np.uint64(40)) % np.uint64(COUNTERS)
+    n = np.bincount(doc * COUNTERS + part.astype(np.int64), minlength=len(tokens) * COUNTERS).reshape(-1, COUNTERS)
+    n = np.minimum(n, 15).astype(np.uint8)
+    return n[:, ::2] | n[:, 1::2] << 4
+
+
+_PACKED = "bucket int, lo binary, hi binary, ref binary, classes binary, sizes binary, counters binary"
 
 
 def packed_postings(classes: DataFrame, sim: Similarity, buckets: int, weight_of) -> DataFrame:
@@ -169,33 +181,46 @@ def packed_postings(classes: DataFrame, sim: Similarity, buckets: int, weight_of
                 while stop < len(b) and stop - start < 4000 and (stop == start or load + n[stop] <= 200_000):
                     load += int(n[stop])
                     stop += 1
-                key, ref = postings([_unpack(x) for x in tokens[start:stop]], sim, bands, weight_of.value)
+                sets = [_unpack(x) for x in tokens[start:stop]]
+                key, ref = postings(sets, sim, bands, weight_of.value)
+                parts = counters(sets)
                 bucket = ((key >> np.uint64(48)) % np.uint64(65536) * np.uint64(buckets) >> np.uint64(16)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
                 key, ref, bucket = key[order], ref[order], bucket[order]
                 out = []
                 for i, j in zip(e := np.flatnonzero(np.r_[True, np.diff(bucket) > 0]), np.r_[e[1:], len(bucket)]):
                     used, inverse = np.unique(ref[i:j] >> 2, return_inverse=True)
-                    out.append((int(bucket[i]), key[i:j].astype("<u4").tobytes(), (key[i:j] >> np.uint64(32)).astype("<u2").tobytes(), (inverse * 4 + (ref[i:j] & 3)).astype("<u2").tobytes(), cls[start:stop][used].astype("<i8").tobytes(), n[start:stop][used].astype("<u4").tobytes()))
-                yield pd.DataFrame(out, columns=["bucket", "lo", "hi", "ref", "classes", "sizes"])
+                    out.append((int(bucket[i]), key[i:j].astype("<u4").tobytes(), (key[i:j] >> np.uint64(32)).astype("<u2").tobytes(), (inverse * 4 + (ref[i:j] & 3)).astype("<u2").tobytes(), cls[start:stop][used].astype("<i8").tobytes(), n[start:stop][used].astype("<u4").tobytes(), parts[used].tobytes()))
+                yield pd.DataFrame(out, columns=["bucket", "lo", "hi", "ref", "classes", "sizes", "counters"])
                 start = stop
 
     return classes.select("class_id", "n", "tokens").mapInPandas(run, _PACKED)
 
 
-def _match(key: np.ndarray, cls: np.ndarray, size: np.ndarray, flag: np.ndarray, t: Fraction) -> Iterator[pd.DataFrame]:
-    """Tallies of the pairs that meet in one bucket, in blocks: whole positions against whole ones and against those less one token."""
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sum of the differences of two rows of counters, a lower bound of the tokens in which the texts differ."""
+    low = np.abs((x & 15).astype(np.int8) - (y & 15).astype(np.int8)).sum(axis=1, dtype=np.int64)
+    return low + np.abs((x >> 4).astype(np.int8) - (y >> 4).astype(np.int8)).sum(axis=1, dtype=np.int64)
+
+
+def _match(key: np.ndarray, row: np.ndarray, flag: np.ndarray, cls: np.ndarray, size: np.ndarray, parts: np.ndarray, t: Fraction) -> Iterator[pd.DataFrame]:
+    """Tallies of the pairs that meet in one bucket, in blocks: whole positions against whole ones and against those less one token.
+
+    Pairs whose sizes or counters already forbid the threshold are not counted.
+    """
     order = np.lexsort((flag & 1, key))
-    key, cls, size, flag = key[order], cls[order], size[order], flag[order]
+    key, row, flag = key[order], row[order], flag[order]
     begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    end = np.r_[begin[1:], len(key)]
-    run = np.repeat(np.arange(len(begin)), end - begin)
-    whole = np.flatnonzero(((flag & 1) == 0) & (end[run] - np.arange(len(key)) > 1))  # whole ones come first: each meets what follows it
-    for left, right in meetings(whole, end[run[whole]] - whole - 1, BLOCK):
-        a, b = cls[left], cls[right]
-        small, large = np.minimum(size[left], size[right]).astype(np.int64), np.maximum(size[left], size[right]).astype(np.int64)
-        ok = (a != b) & ~((flag[left] & flag[right] & 2) > 0) & (small * t.denominator >= large * t.numerator)
-        a, b = a[ok], b[ok]
+    end = np.repeat(np.r_[begin[1:], len(key)], np.diff(np.r_[begin, len(key)]))
+    whole = np.flatnonzero(((flag & 1) == 0) & (end - np.arange(len(key)) > 1))  # whole ones come first: each meets what follows it
+    for left, right in meetings(whole, end[whole] - whole - 1, BLOCK):
+        once = (flag[left] & flag[right] & 2) == 0
+        x, y = row[left[once]], row[right[once]]
+        small, large = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
+        ok = (cls[x] != cls[y]) & (small * t.denominator >= large * t.numerator)
+        x, y = x[ok], y[ok]
+        ok = _apart(parts[x], parts[y]) * (t.denominator + t.numerator) <= (size[x] + size[y]) * (t.denominator - t.numerator)
+        a, b = cls[x[ok]], cls[y[ok]]
         if len(a):
             pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
             yield pairs.groupby(["a", "b"], sort=False).size().reset_index(name="shared")
@@ -207,11 +232,14 @@ def tally(packed: DataFrame, sim: Similarity, buckets: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for held in runs(batches):
             key = np.concatenate([np.frombuffer(r[0], "<u4").astype(np.uint64) | (np.frombuffer(r[1], "<u2").astype(np.uint64) << np.uint64(32)) for r in held])
-            refs = [np.frombuffer(r[2], "<u2") for r in held]
-            cls = np.concatenate([np.frombuffer(r[3], "<i8")[x >> 2] for r, x in zip(held, refs)])
-            size = np.concatenate([np.frombuffer(r[4], "<u4")[x >> 2] for r, x in zip(held, refs)])
+            refs = [np.frombuffer(r[2], "<u2").astype(np.int64) for r in held]
+            cls = np.concatenate([np.frombuffer(r[3], "<i8") for r in held])
+            size = np.concatenate([np.frombuffer(r[4], "<u4") for r in held]).astype(np.int64)
+            parts = np.concatenate([np.frombuffer(r[5], np.uint8).reshape(-1, COUNTERS // 2) for r in held])
+            first = np.cumsum([0, *(len(r[3]) // 8 for r in held)])
+            row = np.concatenate([(x >> 2) + f for x, f in zip(refs, first)]).astype(np.int32)
             flag = np.concatenate([(x & 3).astype(np.uint8) for x in refs])
-            yield from _match(key, cls, size, flag, sim.threshold)
+            yield from _match(key, row, flag, cls, size, parts, sim.threshold)
 
     met = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(run, "a long, b long, shared long")
     return met.groupBy("a", "b").agg(F.sum("shared").alias("shared")).filter(F.col("shared") >= sim.least)
