@@ -7,8 +7,9 @@
    with the smallest hashes). Each pass is a distributed product; the driver only sees
    matrices of vocabulary x rank.
 3. Every window of every document is projected and compared with all passage windows by
-   the cosine; (document, item) pairs over ``min_cosine`` are candidates. Windows overlap
-   by half, so that a run of ``run_words`` words always lies whole in one window.
+   the cosine; (document, item) pairs over ``min_cosine`` are candidates. Windows begin
+   every ``stride`` words and are so wide that a run of ``run_words`` words always lies
+   whole in one of them.
 4. Candidates are checked on their words: the longest run of consecutive common words, and
    for paraphrases the longest common subsequence and the share of the passage's answer
    words (those that hold digits).
@@ -42,6 +43,7 @@ class Retrieval:
     rank: int = 64
     oversample: int = 8
     sample_docs: int = 4000
+    stride: int = 7
     min_cosine: float = 0.45
     paraphrase_cosine: float = 0.75
     min_lcs: float = 0.5
@@ -51,7 +53,7 @@ class Retrieval:
 
     @property
     def window(self) -> int:
-        return 2 * self.run_words
+        return self.run_words + self.stride - 1
 
 
 def words(text: str) -> list[str]:
@@ -127,10 +129,13 @@ def latent_space(passages: DataFrame, idf: np.ndarray, r: Retrieval) -> np.ndarr
                     ids = _ids(words(t), r.vocabulary)
                     if not len(ids):
                         continue
-                    for s in _starts(len(ids), r.window, r.run_words):
-                        one = ids[s : s + r.window]
-                        x = w_[one] / max(1e-9, float(np.sqrt((w_[one] ** 2).sum())))
-                        np.add.at(total, one, x[:, None] * (x @ b_[one])[None, :])
+                    w = w_[ids][:, None]
+                    begin = _starts(len(ids), r.window, r.stride)
+                    y = window_sums(w * b_[ids], r.window, r.stride) / window_sums(w * w, r.window, r.stride)
+                    spread = np.zeros((len(ids) + 1, q), np.float64)
+                    np.add.at(spread, begin, y)
+                    np.add.at(spread, np.minimum(begin + r.window, len(ids)), -y)
+                    np.add.at(total, ids, w * np.cumsum(spread[:-1], axis=0))
             used = [i for i in range(0, r.vocabulary, block) if total[i : i + block].any()]
             yield pd.DataFrame({"block": [i // block for i in used], "part": [total[i : i + block].tobytes() for i in used]})
 
@@ -147,15 +152,24 @@ def latent_space(passages: DataFrame, idf: np.ndarray, r: Retrieval) -> np.ndarr
     return (basis @ vector[:, np.argsort(-value)[: r.rank]]).astype(np.float32)
 
 
-def longest_run(a: list[str], b_grams: dict, b: list[str], least: int) -> int:
-    """Length of the longest run of consecutive words of b in a, if it has ``least`` words, else 0. b_grams: positions of each run of ``least`` words in b."""
+def grams(ws: list[str], n: int) -> dict[str, list[int]]:
+    """Positions of every run of n words."""
+    out: dict[str, list[int]] = {}
+    for j in range(len(ws) - n + 1):
+        out.setdefault(" ".join(ws[j : j + n]), []).append(j)
+    return out
+
+
+def longest_run(a: list[str], a_grams: dict, b: list[str], b_grams: dict, least: int) -> int:
+    """Length of the longest run of consecutive words that a and b share, if it has ``least`` words, else 0; the grams are those of ``least`` words."""
     best = 0
-    for i in range(len(a) - least + 1):
-        for j in b_grams.get(tuple(a[i : i + least]), ()):
-            n = least
-            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
-                n += 1
-            best = max(best, n)
+    for g in b_grams:
+        for i in a_grams.get(g, ()):
+            for j in b_grams[g]:
+                n = least
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                    n += 1
+                best = max(best, n)
     return best
 
 
@@ -203,21 +217,16 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
         latent, first = [], []
         for _, ws in block:
             first.append(sum(map(len, latent)))
-            latent.append(_unit(window_sums(space[_ids(ws, r.vocabulary)], r.window, 4)))
-        grams: list[dict] = []
-        for _, ws in block:
-            g: dict[tuple, list[int]] = {}
-            for j in range(len(ws) - r.run_words + 1):
-                g.setdefault(tuple(ws[j : j + r.run_words]), []).append(j)
-            grams.append(g)
-        one = _search(src, schema, spark.sparkContext.broadcast((block, np.concatenate(latent), np.array(first), grams)), held_space, r)
+            latent.append(_unit(window_sums(space[_ids(ws, r.vocabulary)], r.window, 3)))
+        runs = [grams(ws, r.run_words) for _, ws in block]
+        one = _search(src, schema, spark.sparkContext.broadcast((block, np.concatenate(latent), np.array(first), runs)), held_space, r)
         out = one if out is None else out.unionByName(one)
     return out.distinct()
 
 
 def _search(src: DataFrame, schema: str, held, held_space, r: Retrieval) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, latent, first, grams = held.value
+        block, latent, first, runs = held.value
         digits = [{w for w in ws if any(c.isdigit() for c in w)} for _, ws in block]
         for whole in batches:
             rows, pending, count = [], [], 0
@@ -225,16 +234,16 @@ def _search(src: DataFrame, schema: str, held, held_space, r: Retrieval) -> Data
                 ws = words(t)
                 if not ws:
                     continue
-                z = _unit(window_sums(held_space.value[_ids(ws, r.vocabulary)], r.window, r.run_words))
+                z = _unit(window_sums(held_space.value[_ids(ws, r.vocabulary)], r.window, r.stride))
                 pending.append((doc_id, ws, z))
                 count += len(z)
                 if count >= 1500:
-                    rows += judge(pending, block, latent, first, grams, digits)
+                    rows += judge(pending, block, latent, first, runs, digits)
                     pending, count = [], 0
-            rows += judge(pending, block, latent, first, grams, digits) if pending else []
+            rows += judge(pending, block, latent, first, runs, digits) if pending else []
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "run", "cosine", "lcs", "answer", "kind"])
 
-    def judge(pending, block, latent, first, grams, digits):
+    def judge(pending, block, latent, first, runs, digits):
         upto = np.cumsum([0, *(len(z) for _, _, z in pending)])
         z = np.concatenate([z for _, _, z in pending])
         for part in range(0, len(z), 3000):  # a very long text is compared in slices
@@ -243,11 +252,13 @@ def _search(src: DataFrame, schema: str, held, held_space, r: Retrieval) -> Data
         for d, (doc_id, ws, _) in enumerate(pending):
             mine = best[upto[d] : upto[d + 1]]
             top = mine.max(axis=0)
-            for i in np.flatnonzero(top >= r.min_cosine):
-                n = longest_run(ws, grams[i], block[i][1], r.run_words)
+            near = np.flatnonzero(top >= r.min_cosine)
+            own = grams(ws, r.run_words) if len(near) else {}
+            for i in near:
+                n = longest_run(ws, own, block[i][1], runs[i], r.run_words)
                 if n < r.run_words and top[i] < r.paraphrase_cosine:
                     continue
-                s = int(_starts(len(ws), r.window, r.run_words)[int(mine[:, i].argmax())])
+                s = int(_starts(len(ws), r.window, r.stride)[int(mine[:, i].argmax())])
                 part = ws[s : s + r.window]
                 lcs = lcs_length(part, block[i][1]) / len(part)
                 answer = len(digits[i] & set(ws)) / len(digits[i]) if digits[i] else 0.0
