@@ -11,7 +11,7 @@ Labels are of documents and noisy, windows are not labelled. The toxic windows o
 document labelled toxic are those that ordinary text does not explain; ordinary windows
 that look toxic are set aside. Both are found in rounds of cross-fitting: windows are only
 ever scored by dictionaries trained without their fold. The threshold is calibrated on
-these held-out scores.
+these held-out scores, but never below ``least_score``.
 
 The fit takes at most ``max_toxic`` and ``max_ordinary`` labelled documents, those with
 the smallest hashes; every document is scored, by its whole text.
@@ -82,6 +82,7 @@ class Params:
     ordinary_parts: int = 6
     quiet: float = 0.995
     least_lift: float = 0.06
+    least_score: float = 0.1
     novelty: tuple[float, ...] = (0.0, 0.15, 0.3, 0.6)
     seed: int = 5
 
@@ -213,7 +214,7 @@ def fit_windows(texts: list[str], toxic: list[bool], p: Params) -> Model:
         score = mixed(size, weight)
         bad = label_w & (score > threshold) & (lift > cut / 2)
         fine = (~label_w | (lift <= cut)) & (score <= threshold)
-    return Model(dictionary(_pick(ws, fine), p) or _NOTHING, dictionary(_pick(ws, bad), p) or _NOTHING, threshold, p, weight)
+    return Model(dictionary(_pick(ws, fine), p) or _NOTHING, dictionary(_pick(ws, bad), p) or _NOTHING, max(threshold, p.least_score), p, weight)
 
 
 def _pick(ws: list[str], mask: np.ndarray) -> list[str]:
