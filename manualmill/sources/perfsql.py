@@ -82,7 +82,7 @@ def read_dump(files: DataFrame) -> DataFrame:
 
 def project(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Named columns of dump rows, whatever the case of their names; columns that a file lacks are null."""
-    at = lambda c: F.expr(f"try_element_at(vals, nullif(array_position(names, '{c.upper()}'), 0))")
+    at = lambda c: F.expr(f"try_element_at(vals, cast(nullif(array_position(names, '{c.upper()}'), 0) AS INT))")
     return rows.select("file", "line", *(at(c).alias(c) for c in columns))
 
 
