@@ -31,7 +31,7 @@ HTML_TAGS = frozenset(
 )
 # fixed values: commands that are LaTeX without an argument too
 _COMMANDS = "begin|end|item|textbf|textit|texttt|emph|underline|frac|sqrt|SI|si|unit|qty|section|subsection|subsubsection|paragraph|chapter|cite|ref|label|footnote|caption|includegraphics|hline|centering|mathrm|mathbf|times|cdot|pm|leq|geq|approx|alpha|beta|mu|Omega|circ|degree|sum|int|left|right|quad|newline|noindent|documentclass|usepackage"
-_LATEX = re.compile(rf"\\(?:[A-Za-z]+\*?\s?[{{\[]|(?:{_COMMANDS})(?![A-Za-z]))|\$(?![\s$])[^$\n]{{0,300}}[\\^_{{][^$\n]{{0,300}}(?<!\s)\$|\$\$[^$]+\$\$|\\\([^\n]{{1,300}}?\\\)")
+_LATEX = re.compile(rf"\\(?:[A-Za-z]+\*?\s?[{{\[]|(?<![\w:.]\\)(?:{_COMMANDS})(?![A-Za-z]))|\$(?![\s$])[^$\n]{{0,300}}[\\^_{{][^$\n]{{0,300}}(?<!\s)\$|\$\$[^$]+\$\$|\\\([^\n]{{1,300}}?\\\)")
 _WIKI = re.compile(r"\[\[[^\[\]\n]{1,200}(?:\]\]|\||$)|(?<!\{)\{\{[^{}\n]{1,300}|^\s*\{\|.*$|^\s*\|\}|^\s*\|-\s*$|'''|(?<![\w'])''(?=\w)[^'\n]{1,200}''(?!')|^={2,6}\s?[^=\n]+?\s?={2,6}\s*$|__(?:NO)?TOC__", re.MULTILINE)
 _TAG = re.compile(r"</?[A-Za-z][\w:.-]*(?:\s[^<>\n]*)?/?>|<[A-Za-z][\w:.-]*\s+[\w:.-]+\s*=\s*[\"']|</[A-Za-z]|<!--|-->|<![A-Za-z\[]|<\?|\?>")
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|&(?:nbsp|amp|lt|gt|quot|deg|mdash|ndash)\b")

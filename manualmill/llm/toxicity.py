@@ -194,6 +194,10 @@ def fit_windows(texts: list[str], toxic: list[bool], p: Params) -> Model:
     lift = bytes_by[0] - bytes_by[1]
     cut = max(p.least_lift, float(np.quantile(lift[~label_w], p.quiet)) if (~label_w).any() else 0.0)
     bad, fine = label_w & (lift > cut), ~label_w & (lift <= cut)
+    # ordinary labels on documents that toxic ones explain much better are most likely wrong
+    most = np.full(len(docs), -1.0)
+    np.maximum.at(most, owner, lift)
+    sure = label | (most <= 2 * cut)
     fold_w = (hash_of % p.folds)[owner]
     weight, threshold = 0.0, 0.0
     for turn in range(p.rounds):
@@ -206,7 +210,7 @@ def fit_windows(texts: list[str], toxic: list[bool], p: Params) -> Model:
         for v in p.novelty:
             worst = np.full(len(docs), -1.0)
             np.maximum.at(worst, owner, mixed(size, v))
-            t, f1 = calibrate(worst, label, p.ordinary_weight)
+            t, f1 = calibrate(worst[sure], label[sure], p.ordinary_weight)
             if f1 > best:
                 best, weight, threshold = f1, v, t
         if turn == p.rounds - 1:
