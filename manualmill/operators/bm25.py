@@ -24,15 +24,15 @@ class Bm25:
     digits: int = 6
 
 
-def document_lengths(docs: DataFrame) -> DataFrame:
-    """(doc, dl) of (doc, text); null texts are no documents."""
-    return docs.filter("text IS NOT NULL").select("doc", F.size(tokens(F.col("text"))).alias("dl"))
+def tokenised(docs: DataFrame) -> DataFrame:
+    """(doc, t) of (doc, text)."""
+    return docs.filter("text IS NOT NULL").select("doc", tokens(F.col("text")).alias("t"))
 
 
 def term_weights(docs: DataFrame, p: Bm25 = Bm25()) -> DataFrame:
-    """(term, df, idf) of the whole vocabulary."""
-    df = docs.filter("text IS NOT NULL").select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n = docs.filter("text IS NOT NULL").agg(F.count(F.lit(1)).alias("n"))
+    """(term, df, idf) of the whole vocabulary of (doc, t)."""
+    df = docs.select(F.explode(F.array_distinct("t")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    n = docs.agg(F.count(F.lit(1)).alias("n"))
     raw = df.crossJoin(F.broadcast(n)).withColumn("raw", F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)))  # n is a single row
     mean = raw.agg(F.avg("raw").alias("mean"))
     return raw.crossJoin(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, F.lit(p.floor) * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
@@ -42,13 +42,14 @@ def scores(queries: DataFrame, docs: DataFrame, p: Bm25 = Bm25()) -> DataFrame:
     """(query_id, doc, score > 0) of queries (query_id, text) over docs (doc, text); repeated query tokens count each time."""
     asked = queries.filter("text IS NOT NULL").select("query_id", F.explode(tokens(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
     wanted = asked.select("term").distinct()
-    # the length is taken below the explode, else it would be computed again for every token
-    split = docs.filter("text IS NOT NULL").select("doc", tokens(F.col("text")).alias("t")).select("doc", F.size("t").alias("dl"), "t")
-    hits = split.select("doc", "dl", F.explode("t").alias("term")).join(wanted, "term").groupBy("doc", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
-    mean = document_lengths(docs).agg(F.avg("dl").alias("avgdl"))
+    # hits are laid out by doc once: counting terms and adding up scores need no other shuffle
+    # as long as the queries' terms are small enough for Spark to broadcast; tokens are read three times: for the lengths, the vocabulary and the hits
+    split = materialise(tokenised(docs), "tokens")
+    hits = split.select("doc", F.size("t").alias("dl"), "t").select("doc", "dl", F.explode("t").alias("term")).join(wanted, "term").repartition("doc").groupBy("doc", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    mean = split.agg(F.avg(F.size("t")).alias("avgdl"))
     # the terms of the queries only, with what they need of the whole corpus: written once, so
     # the vocabulary is not planned and counted again inside the scoring
-    weights = materialise(term_weights(docs, p).join(wanted, "term", "left_semi").crossJoin(F.broadcast(mean)).select("term", "idf", "avgdl"), "weights")
+    weights = materialise(term_weights(split, p).join(wanted, "term", "left_semi").crossJoin(F.broadcast(mean)).select("term", "idf", "avgdl"), "weights")
     part = F.col("times") * F.col("idf") * F.col("tf") * (p.k1 + 1) / (F.col("tf") + p.k1 * (1 - p.b + p.b * F.col("dl") / F.col("avgdl")))
     out = hits.join(weights, "term").join(asked, "term").groupBy("query_id", "doc").agg(F.round(F.sum(part), p.digits).alias("score"))
     return out.filter("score > 0")

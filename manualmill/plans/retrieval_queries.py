@@ -45,7 +45,7 @@ def bm25_masked_topk(spark, d):
 
 
 def bm25_terms(spark, d):
-    return bm25.term_weights(_docs(spark, d)).select("term", "df", F.round("idf", 6).alias("idf"))
+    return bm25.term_weights(bm25.tokenised(_docs(spark, d))).select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 def vector_topk(spark, d):

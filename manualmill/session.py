@@ -48,3 +48,12 @@ def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of few partitions over all cores, before work in Python; larger scans stay as they are.
+
+    Moves at most as many scan partitions as there are cores, so never more than a bounded share of a large table.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
