@@ -32,6 +32,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from manualmill.session import spread
+
 # fixed values: letters of other scripts that look like Latin ones, and digits or signs used for letters
 _ALIKE = str.maketrans("аеорсухіјѕһԁոԛԝмткнвгпαεορτυνικ", "aeopcyxijshdnqwmtkhbrnaeoptuvik")
 _LEET = str.maketrans("013457@$!", "oieastasi")
@@ -268,4 +270,4 @@ def score(docs: DataFrame, doc_id: str, text: str, model: Model, keep: tuple[str
 
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text__"), *keep)
     extra = "".join(f", `{k}` {types[k]}" for k in keep)
-    return src.mapInPandas(run, f"doc_id {types[doc_id]}, score double, toxic boolean, worst_window string{extra}")
+    return spread(src).mapInPandas(run, f"doc_id {types[doc_id]}, score double, toxic boolean, worst_window string{extra}")
