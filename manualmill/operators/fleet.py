@@ -47,3 +47,22 @@ def included_operations(parents: DataFrame, children: DataFrame) -> DataFrame:
 def title_of(xml_title: Column, table_title: Column, unit: Column) -> Column:
     blank = lambda c: F.nullif(F.trim(c), F.lit(""))
     return F.coalesce(blank(xml_title), blank(table_title), unit)
+
+
+def long_serial(machines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Machines (vin) with the 17-character form of pairs (short, long); a vin without one stays as it is."""
+    return machines.join(pairs.withColumnRenamed("short", "vin"), "vin", "left").withColumn("long", F.coalesce("long", "vin"))
+
+
+def machine_types(serials: DataFrame, types: DataFrame, products: DataFrame) -> DataFrame:
+    """(vin, tt_id, product columns): serials (vin, tt_code) to active types (tt_id, tt_code, status, low, high) whose range holds the vin, to products.
+
+    Ranges that cannot be judged do not exclude a type.
+    """
+    near = serials.join(types.filter(F.col("status").cast("string") == "1"), "tt_code")
+    return near.filter(F.coalesce(serial_match(F.col("vin"), F.col("low"), F.col("high")), F.lit(True))).select("vin", "tt_id").distinct().join(products, "tt_id")
+
+
+def type_operations(types: DataFrame, times: DataFrame) -> DataFrame:
+    """Operations per type: types (tt_id, srt_code, column_number), times (srt_code, column_number, part ids p1..p4, units); the id has four dotted parts."""
+    return types.join(times, ["srt_code", "column_number"]).select("tt_id", F.concat_ws(".", "p1", "p2", "p3", "p4").alias("operation"), "units").distinct()

@@ -11,11 +11,16 @@ from manualmill.operators.chunking import chunks
 from manualmill.operators.convert import convert
 from manualmill.operators.extract import extract, unit_references
 from manualmill.plans.corpus_queries import UNITS
+from manualmill.operators.evaluate import request_packing
+from manualmill.providers import token_counts
 from manualmill.session import table
 from manualmill.sources.perfsql import project, read_dump
 from manualmill.streaming.ingest import file_stream, new_items, run_available, tumbling_counts
 
 
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
 def _units(spark: SparkSession, d: str) -> DataFrame:
     return first_per_key(table(spark, d, "canonical_ius_enriched"), "canonical_id", "loaded_at")
 
@@ -86,6 +91,29 @@ def perfsql_round_trip(spark, d):
     return out.select(F.col("tt_id").cast("int").alias("tt_id"), *cols)
 
 
+def unknown_tags(spark, d):
+    """Elements without a rule over all converted units."""
+    c = _xml(_units(spark, d)).select(convert(F.replace(F.col("xml"), F.lit("Part_Reference"), F.lit("Strange_Part"))).alias("c"))
+    return c.select(F.explode("c.unknown_tags").alias("tag", "n")).groupBy("tag").agg(F.sum("n").alias("times"), F.count(F.lit(1)).alias("units"))
+
+
+def exact_tokens(spark, d):
+    """Tokens by a public vocabulary beside the estimate, per content type."""
+    u = _units(spark, d).filter("content_md IS NOT NULL")
+    n = token_counts(u, "canonical_id", "content_md", VOCABULARY)
+    x = u.select(F.col("canonical_id").alias("doc"), "content_type", estimated_tokens(F.col("content_md")).alias("estimate")).join(n, "doc")
+    return x.groupBy("content_type").agg(F.count(F.lit(1)).alias("units"), F.sum("estimate").alias("estimated"), F.sum("tokens").alias("tokens"))
+
+
+def embedding_plan(spark, d):
+    """What embedding all chunks would take: requests, their sizes, cost at 0.02 a million tokens, bytes of vectors."""
+    c = first_per_key(table(spark, d, "chunks"), "chunk_id", "loaded_at").filter("text IS NOT NULL").select("chunk_id", estimated_tokens(F.col("text")).alias("tokens"))
+    packed = request_packing(c, "chunk_id", "tokens", F.pmod(F.xxhash64("chunk_id"), F.lit(64)))
+    r = packed.groupBy("shard", "request").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("inputs"))
+    one = r.agg(F.count(F.lit(1)).alias("requests"), F.sum("inputs").alias("inputs"), F.sum("tokens").alias("tokens"), F.min("tokens").alias("smallest"), F.max("tokens").alias("largest"))
+    return one.select("requests", "inputs", "tokens", "smallest", "largest", F.round(F.col("tokens") * 0.02 / 1e6, 6).alias("cost"), (F.col("inputs") * 64 * 4).alias("vector_bytes"))
+
+
 def stream_windows(spark, d):
     """Extension: hourly windows over the event stream."""
     e = file_stream(spark, f"{d}/events.parquet")
@@ -100,12 +128,13 @@ def stream_new_documents(spark, d):
 
 
 _DISTINCT = "len(list_distinct(list_filter(coalesce({0}, []), lambda x: {1})))"
-QUERIES = {f.__name__: f for f in (xml_round_trip, xml_conversion, wrapper_references, chunk_units, chunk_counts, perfsql_round_trip, stream_windows, stream_new_documents)}
+QUERIES = {f.__name__: f for f in (xml_round_trip, xml_conversion, wrapper_references, chunk_units, chunk_counts, perfsql_round_trip, unknown_tags, exact_tokens, embedding_plan, stream_windows, stream_new_documents)}
 SQL = {
     "xml_round_trip": f"""SELECT canonical_id, 'Service_IU' AS root, CAST(len(list_distinct(list_transform(coalesce(fault_codes, []), lambda f: coalesce(f.code, '') || chr(1) || coalesce(f.ecid, '')))) AS INTEGER) AS faults,
       coalesce(array_to_string(list_sort(list_distinct(list_filter(list_transform(coalesce(part_numbers, []), lambda p: trim(p)), lambda p: p <> ''))), ','), '') AS parts,
       CAST(len(list_distinct(list_transform(coalesce(iu_cross_references, []), lambda r: coalesce(r.icecode, '') || chr(1) || coalesce(r.ifsid, '')))) AS INTEGER) AS refs,
       CAST(len(list_distinct(list_filter(coalesce(configuration, []), lambda c: c <> ''))) AS INTEGER) AS configurations, CAST(NULL AS VARCHAR) AS error FROM {UNITS}""",
+    "unknown_tags": f"WITH p AS (SELECT canonical_id, unnest(part_numbers) AS x FROM {UNITS}) SELECT 'Strange_Part' AS tag, count(*) AS times, count(DISTINCT canonical_id) AS units FROM p WHERE x IS NOT NULL HAVING count(*) > 0",
     "wrapper_references": "SELECT document_id, coalesce(doc_name, '') AS doc_name, coalesce(array_to_string(list_filter(iu_ids, lambda i: i <> ''), ','), '') AS iu_ids FROM document_structure QUALIFY row_number() OVER (PARTITION BY document_id ORDER BY loaded_at, series, doc_name) = 1",
     "chunk_counts": f"SELECT length(content_md) // 4 > 2000 AS large, count(*) AS units, CAST(CASE WHEN length(content_md) // 4 > 2000 THEN 2 ELSE 1 END AS BIGINT) AS fewest FROM {UNITS} WHERE length(content_md) // 4 >= 10 AND trim(content_md) <> '' GROUP BY ALL",
     "perfsql_round_trip": "SELECT tt_id, tt_code, brand_name, model_name, sn_min FROM technical_types",

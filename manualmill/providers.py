@@ -76,3 +76,28 @@ def resolved(requests: DataFrame, identifiers: DataFrame, types: DataFrame) -> D
 def prompt(question: Column, machine: Column, context: Column) -> Column:
     """The text a generator is given."""
     return F.concat_ws("\n\n", F.concat(F.lit("Question: "), question), F.when(machine.isNotNull(), F.concat(F.lit("Machine: "), machine)), F.concat(F.lit("Sources:\n"), F.coalesce(context, F.lit("(none)"))))
+
+
+# fixed value: the public splitting pattern of the byte-pair vocabularies in rank files
+TOKEN_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_ENCODINGS: dict = {}
+
+
+def token_counts(df: DataFrame, item: str, text: str, vocabulary: str) -> DataFrame:
+    """(doc, tokens) by a byte-pair vocabulary in a rank file; null texts have none. The encoder is loaded once a worker."""
+    item_type = dict(df.dtypes)[item]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import base64
+
+        import tiktoken
+
+        if vocabulary not in _ENCODINGS:
+            with open(vocabulary, "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            _ENCODINGS[vocabulary] = tiktoken.Encoding("ranks", pat_str=TOKEN_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        enc = _ENCODINGS[vocabulary]
+        for b in batches:
+            yield pd.DataFrame({"doc": b["doc"], "tokens": [0 if t is None else len(enc.encode_ordinary(t)) for t in b["text"]]})
+
+    return df.select(F.col(item).alias("doc"), F.col(text).alias("text")).mapInPandas(run, f"doc {item_type}, tokens int")
