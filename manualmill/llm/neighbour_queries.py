@@ -9,10 +9,11 @@ from manualmill.llm.neighbours import Search, neighbours
 from manualmill.session import table
 
 SEARCH = Search(dim=64, k=5, min_cosine=0.90)
+NEAREST = Search(dim=64, k=5, whole=True)
 
 
 def nearest(spark: SparkSession, d: str) -> DataFrame:
-    out = neighbours(table(spark, d, "chunk_embeddings"), "chunk_id", "embedding", "embedded_at", SEARCH)
+    out = neighbours(table(spark, d, "chunk_embeddings"), "chunk_id", "embedding", "embedded_at", NEAREST)
     return out.select(F.col("item_id").alias("chunk_id"), "rank", F.col("neighbour_id").alias("neighbour"), F.round("cosine", 6).alias("cosine"))
 
 

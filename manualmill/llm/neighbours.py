@@ -47,6 +47,11 @@ class Search:
     crowded: int = 2048
     reach: int = 256  # without effect since crowded cells are compared whole
     seed: int = 7
+    whole: bool = False  # no cosine floor: every class against every other, exactly
+
+    @property
+    def floor(self) -> float:
+        return -1.0 - 1e-9 if self.whole else self.min_cosine
 
     def directions(self) -> np.ndarray:
         rng = np.random.default_rng(self.seed)
@@ -173,7 +178,7 @@ def verified(pairs: DataFrame, classes: DataFrame, search: Search) -> DataFrame:
                 part = b.iloc[s : s + 20_000]
                 x, y = (np.stack(part[c].to_numpy()).astype(np.float64) for c in ("va", "vb"))
                 cos = np.minimum((x * y).sum(1) / np.sqrt((x * x).sum(1) * (y * y).sum(1)), 1.0)
-                ok = cos >= search.min_cosine
+                ok = cos >= search.floor
                 yield pd.DataFrame({"a": part["a"][ok], "b": part["b"][ok], "cosine": cos[ok]})
 
     side = lambda k, c: classes.select(F.col("class_id").alias(k), F.col("v").alias(c))
@@ -228,7 +233,7 @@ def nearest_classes(classes: DataFrame, search: Search) -> DataFrame:
     Exact: every class meets every other in a product of packed matrices; quadratic in the
     number of classes. Single precision picks k + SPARE candidates, ``verified`` gives their cosine.
     """
-    keep, least, dim = search.k + SPARE, search.min_cosine - 1e-5, search.dim
+    keep, least, dim = search.k + SPARE, search.floor - 1e-5, search.dim
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, ids, x, best, who = None, None, None, None, None
@@ -267,6 +272,8 @@ def class_links(vectors: DataFrame, search: Search) -> tuple[DataFrame, DataFram
     spark = vectors.sparkSession
     rows = materialise(vectors.select("item_id", F.xxhash64("v").alias("class_id"), "v"), "vectors")
     classes = materialise(rows.groupBy("class_id").agg(F.first("v").alias("v")), "vector-classes")
+    if search.whole:
+        return rows.select("item_id", "class_id"), materialise(verified(nearest_classes(classes, search), classes, search), "cosines")
     n = classes.count()
     share = search.collision_share()
     tables = search.tables(n, share)
@@ -279,7 +286,7 @@ def class_links(vectors: DataFrame, search: Search) -> tuple[DataFrame, DataFram
 
 
 def neighbours(df: DataFrame, item: str, vector: str, recency: str, search: Search = Search()) -> DataFrame:
-    """(item_id, rank, neighbour_id, cosine): up to k most similar other items of every item with a cosine of at least ``min_cosine``.
+    """(item_id, rank, neighbour_id, cosine): up to k most similar other items of every item with a cosine of at least ``min_cosine``; of any cosine if ``whole``.
 
     Ties go to the smaller id. Items with equal vectors are each other's neighbours at
     cosine 1; only the first k + 1 of a class can be anyone's neighbours through ties, so

@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from manualmill.llm.neighbour_queries import nearest
 from manualmill.llm.neighbours import Search, neighbours
 
 
@@ -66,3 +67,16 @@ def test_dense_cloud_above_the_crowded_limit(spark):
         g[np.arange(len(g)), s + np.arange(len(g))] = -2
         true += [(s + i, int(j)) for i, r in enumerate(np.argpartition(g, -5, axis=1)[:, -5:]) for j in r]
     assert len(found & set(true)) >= 0.999 * len(true)
+
+
+def test_every_chunk_gets_k_neighbours(spark, tmp_path):
+    """Unrelated vectors have no partner at 0.90, yet each has its five most similar."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(1200, 64)), np.repeat(rng.normal(size=(1, 64)), 8, 0)]).astype(np.float32)
+    x[7] = -x[3]
+    ids = [f"v{i:04d}" for i in range(len(x))]
+    spark.createDataFrame([(i, v.tolist(), datetime(2025, 1, 1)) for i, v in zip(ids, x)], "chunk_id string, embedding array<float>, embedded_at timestamp").write.parquet(f"{tmp_path}/chunk_embeddings.parquet")
+    got = nearest(spark, str(tmp_path)).collect()
+    assert {(r.chunk_id, r.neighbour) for r in got} == brute(ids, x.astype(float), 5, -2) and len(got) == 5 * len(x)
+    few = spark.createDataFrame([("a", [1.0] + [0.0] * 63, 0), ("b", [-1.0] + [0.0] * 63, 0)], "id string, e array<float>, at int")
+    assert {(r.item_id, r.neighbour_id, r.cosine) for r in neighbours(few, "id", "e", "at", Search(whole=True)).collect()} == {("a", "b", -1.0), ("b", "a", -1.0)}
