@@ -17,6 +17,29 @@ def depth(series: str | None, tt_id: int | None) -> int:
     return WIDE if series or tt_id is not None else NARROW
 
 
+def within_depth(lists: DataFrame, requests: DataFrame) -> DataFrame:
+    """Ranked rows (query_id, doc, rank) down to the ``depth`` of their request (query_id, series, tt_id)."""
+    given = (F.coalesce(F.col("series"), F.lit("")) != "") | F.col("tt_id").isNotNull()
+    most = requests.select("query_id", F.when(given, F.lit(WIDE)).otherwise(F.lit(NARROW)).alias("most"))
+    return lists.join(most, "query_id").filter(F.col("rank") < F.col("most")).drop("most")
+
+
+def masked(scored: DataFrame, requests: DataFrame, unit_series: DataFrame, unit_types: DataFrame) -> DataFrame:
+    """Scored rows that the hard filters of their request let through, for the keyword leg before its top k.
+
+    scored carries query_id, unit and base; the others are as in ``boosted``, whose hard
+    filters these are.
+    """
+    by_series = requests.filter("series_only AND series IS NOT NULL").select("query_id", "series")
+    known = unit_types.select("tt_id").distinct()
+    by_type = requests.filter("tt_only AND tt_id IS NOT NULL").select("query_id", "tt_id").join(known, "tt_id", "left_semi")
+    flag = lambda x, name: x.withColumn(name, F.lit(True))
+    x = scored.join(flag(by_series.select("query_id"), "series_asked"), "query_id", "left").join(flag(by_type.select("query_id"), "type_asked"), "query_id", "left")
+    x = x.join(flag(by_series.join(unit_series, "series").select("query_id", "unit").distinct(), "series_ok"), ["query_id", "unit"], "left")
+    x = x.join(flag(by_type.join(unit_types, "tt_id").select("query_id", "base").distinct(), "type_ok"), ["query_id", "base"], "left")
+    return x.filter("(series_asked IS NULL OR series_ok) AND (type_asked IS NULL OR type_ok)").drop("series_asked", "type_asked", "series_ok", "type_ok")
+
+
 def reciprocal_rank(lists: list[DataFrame], k: int = RRF_K) -> DataFrame:
     """(query_id, doc, score): the sum of 1 / (k + rank) over all lists that hold the doc; ranks from 0."""
     every = reduce(DataFrame.unionByName, [x.select("query_id", "doc", "rank") for x in lists])

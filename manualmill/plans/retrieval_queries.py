@@ -66,10 +66,13 @@ def _question_vectors(spark, d):
     return few.select(F.row_number().over(Window.orderBy("doc")).cast("long").alias("query_id"), "v")
 
 
-def _fused(spark, d):
-    docs = _docs(spark, d)
+def _scored(spark, d):
     both = _questions(spark, d).select(F.struct("query_id", F.lit(0).alias("leg")).alias("query_id"), "text").unionByName(_short(spark, d).select(F.struct("query_id", F.lit(1).alias("leg")).alias("query_id"), "text"))
-    words = bm25.top(bm25.scores(both, docs), 20).select("query_id.query_id", "doc", "rank")
+    return bm25.scores(both, _docs(spark, d))
+
+
+def _fused(spark, d):
+    words = bm25.top(_scored(spark, d), 20).select("query_id.query_id", "doc", "rank")
     near = vector.nearest(_question_vectors(spark, d), _vectors(spark, d), 20, DIM)
     return fusion.reciprocal_rank([words, near])
 
@@ -95,9 +98,16 @@ def _unit_types(spark, d):
 
 
 def _boosted(spark, d):
-    fused = materialise(_fused(spark, d), "fused")
+    """All legs go as deep as their request asks; the hard filters narrow the keyword legs before their top k."""
+    asked, series, types = _requests(spark, d), _unit_series(spark, d), _unit_types(spark, d)
     own = chunk_owner(F.col("doc"))
-    return fusion.boosted(fused.withColumns({"unit": own, "base": base_id(own)}), _requests(spark, d), _unit_series(spark, d), _unit_types(spark, d))
+    owned = {"unit": own, "base": base_id(own)}
+    legs = _scored(spark, d).select(F.col("query_id").alias("leg"), "query_id.query_id", "doc", "score").withColumns(owned)
+    kept = fusion.masked(legs, asked, series, types).select(F.col("leg").alias("query_id"), "doc", "score")
+    words = bm25.top(kept, fusion.WIDE).select("query_id.query_id", "doc", "rank")
+    near = vector.nearest(_question_vectors(spark, d), _vectors(spark, d), fusion.WIDE, DIM).select("query_id", "doc", "rank")
+    fused = materialise(fusion.reciprocal_rank([fusion.within_depth(x, asked) for x in (words, near)]), "fused")
+    return fusion.boosted(fused.withColumns(owned), asked, series, types)
 
 
 def hybrid_ranking(spark, d):

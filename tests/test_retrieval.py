@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from manualmill.engine import Engine
 from manualmill.operators import bm25, context, fusion, vector
+from manualmill.plans import retrieval_queries
 from manualmill.providers import HashEmbedder, expansions, resolved
 
 
@@ -110,3 +111,20 @@ def test_providers(spark):
     ids, types = spark.createDataFrame([("V1", 5)], "identifier string, tt_id int"), spark.createDataFrame([(5, "T", "S")], "tt_id int, tt_name string, series_icecode string")
     got = {r.query_id: (r.tt_name, r.error) for r in resolved(req, ids, types).collect()}
     assert got == {1: ("T", None), 2: (None, "unknown identifier V9"), 3: (None, None)}
+
+
+def test_hybrid_legs_go_deep_and_are_masked(spark, monkeypatch):
+    """The unit of a series_only request ranks 400th of all; one of a request without hard filter 100th by vector."""
+    n = 420
+    q = retrieval_queries
+    scored = spark.createDataFrame([((i, 0), f"IU{k}_c000", float(n - k)) for i in (5, 4) for k in range(n)], "query_id struct<query_id:bigint,leg:int>, doc string, score double")
+    asked = spark.createDataFrame([(5, "S", True, 1, False), (4, "T", False, 2, True), (3, "S", False, 1, False)], "query_id bigint, series string, series_only boolean, tt_id int, tt_only boolean")
+    near = spark.createDataFrame([(3, f"IU{k}_c000", 1.0, k) for k in range(300)], "query_id bigint, doc string, score double, rank int")
+    stand_ins = {"_scored": scored, "_requests": asked, "_unit_series": spark.createDataFrame([("IU400", "S"), ("IU100", "S")], "unit string, series string"), "_unit_types": spark.createDataFrame([("IU410", 2)], "base string, tt_id int"), "_question_vectors": None, "_vectors": None}
+    for name, df in stand_ins.items():
+        monkeypatch.setattr(q, name, lambda s, d, df=df: df, raising=False)
+    monkeypatch.setattr(q.vector, "nearest", lambda a, b, k, dim: near.filter(F.col("rank") < k))
+    got = {}
+    for r in q._boosted(spark, "").collect():
+        got.setdefault(r.query_id, set()).add(r.doc)
+    assert got[5] == {"IU100_c000", "IU400_c000"} and got[4] == {"IU410_c000"} and len(got[3]) == 200
