@@ -40,22 +40,21 @@ class Engine:
         return spark.createDataFrame(requests, REQUEST)
 
     def rank(self, requests: DataFrame, most: int = context.MOST_CHUNKS) -> DataFrame:
-        """(query_id, pos, doc, score, in_series, in_type). Hard type filters narrow the keyword leg before its top k."""
+        """(query_id, pos, doc, score, in_series, in_type). Hard type and series filters narrow the keyword leg before its top k."""
         asked = expanded(requests, self.expand).select(F.concat_ws(":", F.col("query_id").cast("string"), F.col("variant").cast("string")).alias("query_id"), "text")
         whose = F.split_part("query_id", F.lit(":"), F.lit(1)).cast("bigint")
         scored = bm25.scores(asked, self._texts.select("doc", "text"))
         types = self.applicability.select(canonical_form(F.col("iu_miuid")).alias("base"), "tt_id").filter("base IS NOT NULL AND tt_id IS NOT NULL").distinct()
-        hard = requests.filter("tt_only AND tt_id IS NOT NULL").select("query_id", "tt_id").join(types, "tt_id").select(F.col("query_id").alias("q"), "base")
-        has = hard.select("q").distinct().withColumn("masked", F.lit(True))
-        scored = scored.withColumn("q", whose).withColumn("base", base_id(chunk_owner(F.col("doc")))).join(has, "q", "left")
-        scored = scored.join(hard.withColumn("allowed", F.lit(True)), ["q", "base"], "left").filter("masked IS NULL OR allowed")
+        series = self.units.select(F.col("canonical_id").alias("unit"), F.explode("appearances.series").alias("series")).filter("series IS NOT NULL").distinct()
+        own = chunk_owner(F.col("doc"))
+        owned = {"unit": own, "base": base_id(own)}
+        scored = scored.select(F.col("query_id").alias("variant"), whose.alias("query_id"), "doc", "score").withColumns(owned)
+        scored = fusion.masked(scored, requests, series, types).withColumn("query_id", F.col("variant"))
         words = bm25.top(scored.select("query_id", "doc", "score"), self.depth)
         near = vector.nearest(embed(asked, "query_id", "text", self.embedder).withColumnRenamed("doc", "query_id"), self.vectors, self.depth, self.embedder.dim)
         flat = lambda x: x.select(whose.alias("query_id"), "doc", "rank")
         fused = materialise(fusion.reciprocal_rank([flat(words), flat(near)]), "fused")
-        own = chunk_owner(F.col("doc"))
-        series = self.units.select(F.col("canonical_id").alias("unit"), F.explode("appearances.series").alias("series")).filter("series IS NOT NULL").distinct()
-        return fusion.ranked(fusion.boosted(fused.withColumns({"unit": own, "base": base_id(own)}), requests, series, types), most)
+        return fusion.ranked(fusion.boosted(fused.withColumns(owned), requests, series, types), most)
 
     def query(self, requests: DataFrame) -> DataFrame:
         """(query_id, context, sources) of the requests that found something; sources in order with unit, title, type, applicability and score."""

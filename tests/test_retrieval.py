@@ -128,3 +128,13 @@ def test_hybrid_legs_go_deep_and_are_masked(spark, monkeypatch):
     for r in q._boosted(spark, "").collect():
         got.setdefault(r.query_id, set()).add(r.doc)
     assert got[5] == {"IU100_c000", "IU400_c000"} and got[4] == {"IU410_c000"} and len(got[3]) == 200
+
+
+def test_engine_masks_the_series_before_the_top_k(spark):
+    """The only unit of series S ranks last by keyword and vector, beyond the depth."""
+    texts = [(f"IU{i}", "pump pump pump" if i < 30 else "pump and a long text on hoses") for i in range(31)] + [(f"IU{i}", "valve seat") for i in range(40, 110)]
+    chunks = spark.createDataFrame([(f"{u}_c000", 0, t, "Service_IU") for u, t in texts], "chunk_id string, chunk_index int, text string, content_type string")
+    units = spark.createDataFrame([(u, u, "Service_IU", [("S", "p")] if u == "IU30" else None) for u, _ in texts], "canonical_id string, title string, content_type string, appearances array<struct<series:string,filepath:string>>")
+    e = Engine(chunks, units, spark.createDataFrame([], "iu_miuid string, tt_id int"), embedder=HashEmbedder(32), depth=5)
+    got = e.rank(Engine.of(spark, [(1, "pump", "S", True, None, False), (2, "pump", "S", False, None, False)])).collect()
+    assert [r.doc for r in got if r.query_id == 1] == ["IU30_c000"] and len([r for r in got if r.query_id == 2]) >= 5
