@@ -192,8 +192,9 @@ LEAK = "run int, cosine double, lcs double, answer double, kind string"
 def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, passage: str, r: Retrieval = Retrieval()) -> DataFrame:
     """(doc_id, item_id, run, cosine, lcs, answer, kind): kind ``copied`` if run >= run_words, else ``paraphrased``; distinct.
 
-    run: longest run of common words, 0 under run_words; cosine: of the best window; lcs:
-    longest common subsequence of that window and the passage as a share of the window;
+    run: longest run of common words, 0 under run_words; lcs: longest
+    common subsequence of a window and the passage as a share of the window, the largest of
+    the windows over paraphrase_cosine and the nearest one; cosine: of that window;
     answer: share of the passage's words with digits that the document holds. Null ids,
     null texts and passages shorter than run_words take no part.
     """
@@ -259,11 +260,11 @@ def _search(src: DataFrame, schema: str, held, held_space, r: Retrieval) -> Data
                 n = longest_run(ws, own, block[i][1], runs[i], r.run_words)
                 if n < r.run_words and top[i] < r.paraphrase_cosine:
                     continue
-                s = int(_starts(len(ws), r.window, r.stride)[int(mine[:, i].argmax())])
-                part = ws[s : s + r.window]
-                lcs = lcs_length(part, block[i][1]) / len(part)
+                at = np.union1d(mine[:, i].argmax(), np.flatnonzero(mine[:, i] >= r.paraphrase_cosine))
+                parts = [ws[s : s + r.window] for s in _starts(len(ws), r.window, r.stride)[at]]
+                lcs, cosine = max((lcs_length(part, block[i][1]) / len(part), float(c)) for part, c in zip(parts, mine[at, i]))
                 answer = len(digits[i] & set(ws)) / len(digits[i]) if digits[i] else 0.0
                 if n >= r.run_words or (lcs >= r.min_lcs and answer >= r.min_answer):
-                    yield doc_id, block[i][0], n, float(top[i]), lcs, answer, "copied" if n >= r.run_words else "paraphrased"
+                    yield doc_id, block[i][0], n, cosine, lcs, answer, "copied" if n >= r.run_words else "paraphrased"
 
     return src.mapInPandas(run, schema)

@@ -48,3 +48,16 @@ def test_lcs_and_runs():
     assert L.lcs_length("a b c d".split(), "b x d a".split()) == 2 and L.lcs_length([], ["a"]) == 0
     a, b = "x a b c d y".split(), "q a b c d z".split()
     assert L.longest_run(a, L.grams(a, 2), b, L.grams(b, 2), 2) == 4 and L.longest_run(a, L.grams(a, 5), b, L.grams(b, 5), 5) == 0
+
+
+def test_paraphrase_in_a_window_that_is_not_the_nearest(spark):
+    """A window of the passage's words in reverse is nearer than the paraphrase, but shares no sequence with it."""
+    passage = [f"p{i}" for i in range(18)] + ["42"]
+    near = passage[::-1]
+    told = [w if i % 4 else f"q{i}" for i, w in enumerate(passage)]
+    doc = near + [f"x{i}" for i in range(19)] + told
+    fill = [(i, " ".join(f"z{i}w{j}" for j in range(40))) for i in range(1, 30)]
+    a = spark.createDataFrame([(0, " ".join(doc)), *fill], "doc_id long, text string")
+    b = spark.createDataFrame([(7, " ".join(passage))], "item_id long, passage string")
+    got = L.leaks(a, "doc_id", "text", b, "item_id", "passage").collect()
+    assert [(r.doc_id, r.item_id, r.kind) for r in got] == [(0, 7, "paraphrased")]
