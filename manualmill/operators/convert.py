@@ -1,19 +1,21 @@
 """Unit XML to HTML by declarative rules, and HTML to Markdown.
 
 A rule says what becomes of an element: ``unwrap`` it, ``strip`` it with all it holds, turn
-it into an HTML element, or leave it to a handler. Rules come from families of names below,
-overridden by a table that the caller may load from YAML. Elements without a rule are
-unwrapped and counted.
+it into an HTML element, or leave it to a handler. Rules come from the full table in
+``tag_map.yaml``, which the caller may override by one of their own; names outside it fall
+to the names and families below. Elements without a rule are unwrapped and counted.
 """
 
 from __future__ import annotations
 
 import html
+import pkgutil
 import re
 import xml.etree.ElementTree as ET
 from collections import Counter
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -65,18 +67,29 @@ FAMILIES = [
 ]
 
 
-def load_rules(path: str) -> dict[str, Rule]:
-    """A table of rules in YAML: element name -> html_tag, unwrap, strip, attrs, attrs_from, prefix, suffix, list_context, handler."""
+def _rules(text: str | bytes) -> dict[str, Rule]:
     import yaml
 
-    with open(path) as f:
-        raw = yaml.safe_load(f) or {}
+    raw = yaml.safe_load(text) or {}
     return {n: Rule(**{("tag" if k == "html_tag" else k): v for k, v in (r or {}).items()}) for n, r in raw.items()}
 
 
+def load_rules(path: str) -> dict[str, Rule]:
+    """A table of rules in YAML: element name -> html_tag, unwrap, strip, attrs, attrs_from, prefix, suffix, list_context, handler."""
+    with open(path) as f:
+        return _rules(f.read())
+
+
+@cache
+def table_rules() -> dict[str, Rule]:
+    """The table shipped with the package; its ``**`` marks are bold elements in HTML."""
+    rules = _rules(pkgutil.get_data("manualmill.operators", "tag_map.yaml"))
+    return {n: replace(r, prefix=re.sub(r"\*\*(.+?)\*\*", r"<b>\1</b>", r.prefix)) for n, r in rules.items()}
+
+
 class Converter:
     def __init__(self, rules: dict[str, Rule] | None = None):
-        self.rules = {**NAMED, **(rules or {})}
+        self.rules = {**NAMED, **table_rules(), **(rules or {})}
         self.unknown: Counter = Counter()
         self.handlers: dict[str, Callable[[ET.Element], str]] = {n[4:]: getattr(self, n) for n in dir(self) if n.startswith("_on_")}
 
@@ -155,7 +168,8 @@ class Converter:
     def _picture(self, e: ET.Element) -> tuple[str, str]:
         inner = [x.get("fileref") for x in e if isinstance(x.tag, str) and x.tag.endswith("_Config")] + [x.get("fileref") for k in e for x in k if x.tag == "Icon"]
         ref = next((r for r in reversed(inner) if r), None) or e.get("fileref") or ""
-        return ref, e.get("name") or ref or "image"
+        named = [x.get("name") for x in e if isinstance(x.tag, str) and x.tag.endswith("_Config") and x.get("name")]
+        return ref, e.get("name") or next(reversed(named), None) or ref or "image"
 
     def _on_image(self, e: ET.Element) -> str:
         ref, alt = self._picture(e)
@@ -174,19 +188,26 @@ class Converter:
         return f"{value}{NBSP}{unit}" if value and unit else value or self._plain(e)
 
     def _metric(self, e: ET.Element) -> ET.Element:
-        return next((x for x in e if isinstance(x.tag, str) and "Metric" in x.tag), e)
+        return next((x for x in e if isinstance(x.tag, str) and ("Metric" in x.tag or x.tag in ("Physical_Data_M", "Range_M"))), e)
 
     def _on_physical_mi(self, e: ET.Element) -> str:
-        return self._on_physical(self._metric(e))
+        m = self._metric(e)
+        return self._on_range(m) if m.tag == "Range_M" else self._on_physical(m)
 
     def _on_range(self, e: ET.Element) -> str:
-        low, high, unit = (self._plain(e.find(f".//{n}")) for n in ("Min", "Max", "Unit"))
+        first = lambda *names: next((x for x in map(e.find, (f".//{n}" for n in names)) if x is not None), None)
+        low, high, unit = self._plain(first("Min_Value", "Min")), self._plain(first("Max_Value", "Max")), self._plain(first("Unit"))
         span = DASH.join(x for x in (low, high) if x) or self._plain(e)
         return f"{span}{NBSP}{unit}" if unit and (low or high) else span
 
     def _on_range_mi(self, e: ET.Element) -> str:
         return self._on_range(self._metric(e))
 
+    def _on_range_m(self, e: ET.Element) -> str:
+        return self._on_range(e)
+
+    _on_list_tag, _on_physical_data, _on_physical_data_mi, _on_physical_data_value, _on_range_value = _on_list, _on_physical, _on_physical_mi, _on_physical, _on_range_m
+
     def _on_tolerance(self, e: ET.Element) -> str:
         return " ".join(filter(None, map(self._plain, e))) or self._plain(e)
 

@@ -36,7 +36,7 @@ def _each(array: str, one) -> Column:
     return F.coalesce(F.array_join(F.transform(array, one), ""), F.lit(""))
 
 
-def _xml(units: DataFrame) -> DataFrame:
+def _xml(units: DataFrame, *more: Column) -> DataFrame:
     """Unit documents written from the enriched fields."""
     body = F.concat(
         F.lit("<Service_IU><Title>"), _escape(F.col("title")), F.lit("</Title>"),
@@ -44,7 +44,7 @@ def _xml(units: DataFrame) -> DataFrame:
         _each("part_numbers", lambda p: F.concat(F.lit("<Instruction>Fit <Part_Reference>"), _escape(p), F.lit("</Part_Reference></Instruction>"))),
         _each("iu_cross_references", lambda r: F.concat(F.lit('<IU_Reference icecode="'), _escape(r["icecode"]), F.lit('" ifsid="'), _escape(r["ifsid"]), F.lit('">'), _escape(r["text"]), F.lit("</IU_Reference>"))),
         _each("configuration", lambda c: F.concat(F.lit('<Configuration configdata="'), _escape(c), F.lit('"/>'))),
-        F.lit("</Service_IU>"),
+        *more, F.lit("</Service_IU>"),
     )
     return units.select("canonical_id", body.alias("xml"))
 
@@ -56,7 +56,10 @@ def xml_round_trip(spark, d):
 
 
 def xml_conversion(spark, d):
-    c = _xml(_units(spark, d)).select("canonical_id", convert(F.col("xml")).alias("c"))
+    """Also over lists, notes, wrappers and stripped elements of the rules table."""
+    tools = _each("tool_references", lambda t: F.concat(F.lit("<ListItem><Text_Config>"), _escape(t["name"]), F.lit("</Text_Config><Image_Annotation>a</Image_Annotation></ListItem>")))
+    size = F.concat(F.lit("<Safety_Message><Legal_Note><Variable_NumMI><Physical_Data_M><Value>"), F.coalesce("md_length", F.lit(0)).cast("string"), F.lit("</Value><Unit>mm</Unit></Physical_Data_M><Physical_Data_I>in</Physical_Data_I></Variable_NumMI></Legal_Note></Safety_Message>"))
+    c = _xml(_units(spark, d), F.lit("<Non_Ordered_List>"), tools, F.lit("</Non_Ordered_List>"), size).select("canonical_id", convert(F.col("xml")).alias("c"))
     return c.select("canonical_id", "c.content_md", "c.md_length", F.size("c.unknown_tags").alias("unknown"), "c.error")
 
 

@@ -11,7 +11,7 @@ from manualmill.operators import orphans as O
 from manualmill.operators.applicability import applicable_pairs
 from manualmill.operators.chunking import ChunkRules, chunks, split_unit
 from manualmill.operators.conversation import ANSWER, QUESTION, formatted
-from manualmill.operators.convert import Converter, convert, to_markdown
+from manualmill.operators.convert import Converter, convert, table_rules, to_markdown
 from manualmill.operators.evaluate import request_packing
 from manualmill.operators.extract import extract
 from manualmill.operators.fleet import serial_match
@@ -194,3 +194,26 @@ def test_turns(spark):
     df = spark.createDataFrame(rows, f"conv_id int, turn int, role string, text string, questions {QUESTION}, answers {ANSWER}")
     got = [r.content for r in formatted(df).orderBy("turn").collect()]
     assert got == ["hi", "?", "Which model?: A, B\nq2: 3\nq3: free", "(no response)"]
+
+
+def test_every_name_of_the_table():
+    rules = table_rules()
+    assert len(rules) == 236 and all(rules[n].unwrap for n in ("Text_Config", "Paragraph_Config", "Para_No_Table_Config"))
+    for name, r in rules.items():
+        c = Converter()
+        out = c.document(f"<{name} fileref='f.png'>word<Value>3</Value></{name}>")
+        assert not c.unknown, name
+        assert not r.handler or r.handler in c.handlers, name
+        if r.strip:
+            assert out == "", name
+        elif r.handler in ("image", "icon"):
+            assert out.startswith('<img src="f.png"'), name
+        elif r.unwrap:
+            assert out == "word3", name
+        elif not r.handler:
+            assert out.startswith(f"<{r.tag}") and "word3" in out and out.endswith(f"</{r.tag}>"), name
+        else:
+            assert "3" in out, name
+    c = Converter()
+    assert c.document("<Variable_NumMI><Physical_Data_M><Value>3</Value><Unit>mm</Unit></Physical_Data_M><Physical_Data_I><Value>1</Value></Physical_Data_I></Variable_NumMI>") == "3\xa0mm"
+    assert c.document("<Range_MI><Range_M><Min_Value>1</Min_Value><Max_Value>2</Max_Value><Unit>bar</Unit></Range_M><Range_I>x</Range_I></Range_MI>") == "1\u20132\xa0bar"
