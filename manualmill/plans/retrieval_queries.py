@@ -191,8 +191,20 @@ _FUSED = f"""{_bm25_sql(_Q2)},
     fu AS (SELECT query_id, doc, sum(1 / (60 + rank)) AS score FROM (SELECT * FROM w UNION ALL SELECT * FROM vr) GROUP BY ALL)"""
 _KEY = r"upper(regexp_replace(regexp_replace(regexp_replace(regexp_replace(iu_miuid, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'), '(?s)^.*[/\\]', ''), '(?i)\.xml$', ''), '[^\p{L}\p{N}]', '', 'g'))"
 _TYPES = f"(SELECT DISTINCT CASE WHEN regexp_matches(b, '^IU[0-9]+V[0-9]+$') THEN regexp_replace(b, 'V([0-9]+)$', '_v\\1') ELSE b END AS base, tt_id FROM (SELECT {_KEY} AS b, tt_id FROM iu_tt_applicability) WHERE b <> '' AND tt_id IS NOT NULL)"
-_BOOSTED = f"""{_FUSED}, r AS (SELECT query_id, series_icecode AS series, query_id % 5 = 0 AS series_only, tt_id, query_id % 4 = 0 AS tt_only FROM (SELECT row_number() OVER (ORDER BY tt_id) AS query_id, * FROM technical_types) WHERE query_id IN (SELECT item_id FROM eval_items)),
+# as the query: the hard filters of a request narrow the keyword legs before their top k, and every leg goes as deep as its request asks
+_BOOSTED = f"""{_bm25_sql(_Q2)},
+    r AS (SELECT query_id, series_icecode AS series, query_id % 5 = 0 AS series_only, tt_id, query_id % 4 = 0 AS tt_only FROM (SELECT row_number() OVER (ORDER BY tt_id) AS query_id, * FROM technical_types) WHERE query_id IN (SELECT item_id FROM eval_items)),
     us AS (SELECT DISTINCT unit, series FROM (SELECT canonical_id AS unit, unnest(appearances).series AS series FROM canonical_ius_enriched) WHERE series IS NOT NULL), ut AS {_TYPES},
+    most AS (SELECT query_id, CASE WHEN coalesce(series, '') <> '' OR tt_id IS NOT NULL THEN 200 ELSE 20 END AS most FROM r),
+    own AS (SELECT doc, {_OWN} AS unit, regexp_replace({_OWN}, '_v[0-9]+$', '') AS base FROM (SELECT DISTINCT doc FROM sc)),
+    kept AS (SELECT sc.* FROM sc JOIN own USING (doc) LEFT JOIN r USING (query_id)
+      LEFT JOIN us ON us.unit = own.unit AND us.series = r.series LEFT JOIN ut ON ut.base = own.base AND ut.tt_id = r.tt_id
+      WHERE sc.score > 0 AND (NOT coalesce(r.series_only AND r.series IS NOT NULL, false) OR us.unit IS NOT NULL) AND (NOT coalesce(r.tt_only AND r.tt_id IN (SELECT tt_id FROM ut), false) OR ut.base IS NOT NULL)),
+    w AS (SELECT query_id, doc, row_number() OVER (PARTITION BY query_id, leg ORDER BY score DESC, doc) - 1 AS rank FROM kept),
+    vv AS {_VEC}, qv AS (SELECT row_number() OVER (ORDER BY doc) AS query_id, v FROM vv QUALIFY query_id <= (SELECT count(*) FROM eval_items)),
+    vs AS (SELECT query_id, doc, round(list_cosine_similarity(qv.v, vv.v), 6) AS score FROM qv, vv),
+    vr AS (SELECT query_id, doc, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc) - 1 AS rank FROM vs),
+    fu AS (SELECT query_id, doc, sum(1 / (60 + rank)) AS score FROM (SELECT * FROM w UNION ALL SELECT * FROM vr) JOIN most USING (query_id) WHERE rank < most GROUP BY ALL),
     x AS (SELECT fu.query_id, doc, score, r.*, {_OWN} AS unit, regexp_replace({_OWN}, '_v[0-9]+$', '') AS base FROM fu JOIN r USING (query_id)),
     y AS (SELECT x.query_id, doc, us.unit IS NOT NULL AS in_series, ut.base IS NOT NULL AS in_type, x.tt_id IN (SELECT tt_id FROM ut) AS tt_known, score, series_only, tt_only, x.series FROM x LEFT JOIN us ON us.unit = x.unit AND us.series = x.series LEFT JOIN ut ON ut.base = x.base AND ut.tt_id = x.tt_id),
     z AS (SELECT query_id, doc, in_series, in_type, round(score * CASE WHEN in_series THEN 3 ELSE 1 END * CASE WHEN in_type THEN 3 ELSE 1 END, 9) AS score FROM y WHERE (in_series OR NOT (series_only AND series IS NOT NULL)) AND (in_type OR NOT (tt_only AND tt_known)))"""
