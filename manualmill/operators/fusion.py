@@ -30,14 +30,13 @@ def masked(scored: DataFrame, requests: DataFrame, unit_series: DataFrame, unit_
     scored carries query_id, unit and base; the others are as in ``boosted``, whose hard
     filters these are.
     """
-    by_series = requests.filter("series_only AND series IS NOT NULL").select("query_id", "series")
-    known = unit_types.select("tt_id").distinct()
-    by_type = requests.filter("tt_only AND tt_id IS NOT NULL").select("query_id", "tt_id").join(known, "tt_id", "left_semi")
-    flag = lambda x, name: x.withColumn(name, F.lit(True))
-    x = scored.join(flag(by_series.select("query_id"), "series_asked"), "query_id", "left").join(flag(by_type.select("query_id"), "type_asked"), "query_id", "left")
-    x = x.join(flag(by_series.join(unit_series, "series").select("query_id", "unit").distinct(), "series_ok"), ["query_id", "unit"], "left")
-    x = x.join(flag(by_type.join(unit_types, "tt_id").select("query_id", "base").distinct(), "type_ok"), ["query_id", "base"], "left")
-    return x.filter("(series_asked IS NULL OR series_ok) AND (type_asked IS NULL OR type_ok)").drop("series_asked", "type_asked", "series_ok", "type_ok")
+    known = unit_types.select(F.col("tt_id").alias("want_type")).distinct().withColumn("filled", F.lit(True))
+    wanted = requests.select("query_id", F.when(F.col("series_only"), F.col("series")).alias("want_series"), F.when(F.col("tt_only"), F.col("tt_id")).alias("want_type")).join(known, "want_type", "left")
+    wanted = wanted.select("query_id", "want_series", F.when(F.col("filled"), F.col("want_type")).alias("want_type")).filter("want_series IS NOT NULL OR want_type IS NOT NULL")
+    series = unit_series.join(wanted.select(F.col("want_series").alias("series")).distinct(), "series", "left_semi").select("unit", F.col("series").alias("want_series"), F.lit(True).alias("series_ok"))
+    types = unit_types.join(wanted.select(F.col("want_type").alias("tt_id")).distinct(), "tt_id", "left_semi").select("base", F.col("tt_id").alias("want_type"), F.lit(True).alias("type_ok"))
+    x = scored.join(wanted, "query_id", "left").join(series, ["unit", "want_series"], "left").join(types, ["base", "want_type"], "left")
+    return x.filter("(want_series IS NULL OR series_ok) AND (want_type IS NULL OR type_ok)").drop("want_series", "want_type", "series_ok", "type_ok")
 
 
 def reciprocal_rank(lists: list[DataFrame], k: int = RRF_K) -> DataFrame:

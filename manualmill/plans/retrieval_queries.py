@@ -16,6 +16,19 @@ from manualmill.operators.canonical import first_per_key
 from manualmill.session import materialise, table
 
 DIM = 64
+_WARM: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark: SparkSession, d: str, name: str, make):
+    """What all retrieval queries over one set of tables share (index, clean type and series lists), written once per application, as a server does at its start."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _WARM:
+        _WARM[key] = make()
+    return _WARM[key]
+
+
+def _index(spark: SparkSession, d: str) -> bm25.Index:
+    return _once(spark, d, "index", lambda: bm25.Index.build(_docs(spark, d)))
 
 
 def _chunks(spark: SparkSession, d: str) -> DataFrame:
@@ -35,17 +48,17 @@ def _short(spark, d):
 
 
 def bm25_topk(spark, d):
-    return bm25.top(bm25.scores(_questions(spark, d), _docs(spark, d)), 20)
+    return bm25.top(_index(spark, d).scores(_questions(spark, d)), 20)
 
 
 def bm25_masked_topk(spark, d):
     """Scores use the statistics of all chunks; those outside the mask are dropped before the top k."""
     keep = _chunks(spark, d).filter("content_type = 'Diagnostic_IU'").select(F.col("chunk_id").alias("doc"))
-    return bm25.top(bm25.scores(_questions(spark, d), _docs(spark, d)).join(keep, "doc", "left_semi"), 20)
+    return bm25.top(_index(spark, d).scores(_questions(spark, d)).join(keep, "doc", "left_semi"), 20)
 
 
 def bm25_terms(spark, d):
-    return bm25.term_weights(bm25.tokenised(_docs(spark, d))).select("term", "df", F.round("idf", 6).alias("idf"))
+    return _index(spark, d).terms.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 def vector_topk(spark, d):
@@ -68,7 +81,7 @@ def _question_vectors(spark, d):
 
 def _scored(spark, d):
     both = _questions(spark, d).select(F.struct("query_id", F.lit(0).alias("leg")).alias("query_id"), "text").unionByName(_short(spark, d).select(F.struct("query_id", F.lit(1).alias("leg")).alias("query_id"), "text"))
-    return bm25.scores(both, _docs(spark, d))
+    return _index(spark, d).scores(both)
 
 
 def _fused(spark, d):
@@ -89,12 +102,13 @@ def _requests(spark, d):
 
 def _unit_series(spark, d):
     e = table(spark, d, "canonical_ius_enriched").select(F.col("canonical_id").alias("unit"), F.explode("appearances.series").alias("series"))
-    return e.filter("series IS NOT NULL").distinct()
+    return _once(spark, d, "series", lambda: materialise(e.filter("series IS NOT NULL").distinct(), "unit-series"))
 
 
 def _unit_types(spark, d):
     a = table(spark, d, "iu_tt_applicability").select(canonical_form(F.col("iu_miuid")).alias("base"), "tt_id")
-    return a.filter("base IS NOT NULL AND tt_id IS NOT NULL").distinct()
+    clean = a.filter("base IS NOT NULL AND tt_id IS NOT NULL").distinct().repartitionByRange("tt_id", "base").sortWithinPartitions("tt_id", "base")
+    return _once(spark, d, "types", lambda: materialise(clean, "unit-types"))  # sorted by type, so a look-up reads few row groups
 
 
 def _boosted(spark, d):
