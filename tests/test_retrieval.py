@@ -104,6 +104,18 @@ def test_engine_end_to_end(spark):
     assert 3 not in got or {s.unit for s in got[3].sources} == {"IU3"}
 
 
+def test_engine_opens_what_it_wrote(spark, tmp_path):
+    chunks = spark.createDataFrame([(f"IU{i}_c000", 0, f"pump {i} hose", "Service_IU") for i in range(6)], "chunk_id string, chunk_index int, text string, content_type string")
+    units = spark.createDataFrame([(f"IU{i}", f"T{i}", "Service_IU", None) for i in range(6)], "canonical_id string, title string, content_type string, appearances array<struct<series:string,filepath:string>>")
+    asked = Engine.of(spark, [(1, "pump 3", None, False, None, False)])
+    first = Engine(chunks, units, spark.createDataFrame([("iu2", 1)], "iu_miuid string, tt_id int"), embedder=HashEmbedder(16)).warm(str(tmp_path))
+    again = Engine.opened(spark, str(tmp_path), embedder=HashEmbedder(16))
+    rows = lambda e: [tuple(r) for r in e.rank(asked).orderBy("pos").collect()]
+    assert rows(first) == rows(again) and again.health() == {"texts": 6, "vectors": 6, "types": 1, "series": 0, "parents": 6, "without_vector": 0, "ok": True}
+    assert again.query(asked).first().sources[0].unit == "IU3"
+    assert not Engine.opened(spark, str(tmp_path), embedder=HashEmbedder(8)).health()["ok"]
+
+
 def test_providers(spark):
     df = spark.createDataFrame([("a\n\n b \nc\nd",), (None,)], "raw string")
     assert [r.x for r in df.select(expansions(F.col("raw")).alias("x")).collect()] == [["a", "b", "c"], None]
