@@ -21,7 +21,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from manualmill.session import spread
 
 # fixed values: the elements of HTML
 HTML_TAGS = frozenset(
@@ -33,8 +32,8 @@ HTML_TAGS = frozenset(
 )
 # fixed values: commands that are LaTeX without an argument too
 _COMMANDS = "begin|end|item|textbf|textit|texttt|emph|underline|frac|sqrt|SI|si|unit|qty|section|subsection|subsubsection|paragraph|chapter|cite|ref|label|footnote|caption|includegraphics|hline|centering|mathrm|mathbf|times|cdot|pm|leq|geq|approx|alpha|beta|mu|Omega|circ|degree|sum|int|left|right|quad|newline|noindent|documentclass|usepackage"
-_LATEX = re.compile(rf"\\(?:[A-Za-z]+\*?\s?[{{\[]|(?<![\w:.]\\)(?:{_COMMANDS})(?![A-Za-z]))|\$(?![\s$])[^$\n]{{0,300}}[\\^_{{][^$\n]{{0,300}}(?<!\s)\$|\$\$[^$]+\$\$|\\\([^\n]{{1,300}}?\\\)")
-_WIKI = re.compile(r"\[\[[^\[\]\n]{1,200}(?:\]\]|\||$)|(?<!\{)\{\{[^{}\n]{1,300}|^\s*\{\|.*$|^\s*\|\}|^\s*\|-\s*$|'''|(?<![\w'])''(?=\w)[^'\n]{1,200}''(?!')|^={2,6}\s?[^=\n]+?\s?={2,6}\s*$|__(?:NO)?TOC__", re.MULTILINE)
+_LATEX = re.compile(rf"\\(?:[A-Za-z]+\*?\s?[{{\[]|(?<![\w:.]\\)(?:{_COMMANDS})(?![A-Za-z]))|\$(?![\s$])[^$\n\\^_{{]*[\\^_{{][^$\n]*(?<!\s)\$|\$\$[^$]+\$\$|\\\((?:(?!\\[()])[^\n])+\\\)")
+_WIKI = re.compile(r"\[\[[^\[\]|\n]+(?:\]\]|\||$)|(?<!\{)\{\{[^{}\n]|^\s*\{\|.*$|^\s*\|\}|^\s*\|-\s*$|'''|(?<![\w'])''(?=\w)[^'\n]+''(?!')|^={2,6}\s?[^=\n]+?\s?={2,6}\s*$|__(?:NO)?TOC__", re.MULTILINE)
 _TAG = re.compile(r"</?[A-Za-z][\w:.-]*(?:\s[^<>\n]*)?/?>|<[A-Za-z][\w:.-]*\s+[\w:.-]+\s*=\s*[\"']|</[A-Za-z]|<!--|-->|<![A-Za-z\[]|<\?|\?>")
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|&(?:nbsp|amp|lt|gt|quot|deg|mdash|ndash)\b")
 _AUTOLINK = re.compile(r"<(?:[A-Za-z][A-Za-z0-9+.-]{1,31}:[^\s<>]*|[\w.+-]+@[\w.-]+)>")
@@ -44,7 +43,7 @@ _HTML_CODE = re.compile(r"<(pre|code|kbd|samp|script|style)\b.*?</\1\s*>", re.IG
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.DOTALL)
 _NAME = re.compile(r"</?([A-Za-z][\w:.-]*)")
 _ANY_TAG = re.compile(r"</?[A-Za-z][^<>]*>")
-_TWICE = re.compile(r"&amp;(?:#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|&lt;(?:/?[A-Za-z][\w:.-]*(?:\s(?:(?!&[lg]t;)[^\n]){0,200})?/?|[!?][^\n]{0,100}?)&gt;")
+_TWICE = re.compile(r"&amp;(?:#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|&lt;(?:/?[A-Za-z][\w:.-]*(?:\s(?:(?!&[lg]t;)[^\n])*)?/?|[!?](?:(?!&[lg]t;)[^\n])*)&gt;")
 _INLINE = frozenset("a abbr b big cite code dfn em font i kbd mark q s samp small span strong sub sup tt u var".split())
 
 
@@ -118,7 +117,12 @@ _WIKI_RULES = [
     (re.compile(r"'{2,5}"), ""),
     (re.compile(r"__(?:NO)?TOC__"), ""),
 ]
-_MATH = re.compile(r"\$\$[^$]+\$\$|\$(?![\s$])[^$\n]{0,300}[\\^_{][^$\n]{0,300}(?<!\s)\$|\\\([^\n]{1,300}?\\\)")
+# fixed values: environments that hold a formula
+_ENVIRONMENTS = "equation|align|gather|multline|eqnarray|math|displaymath"
+_MATH = re.compile(
+    rf"\$\$[^$]+\$\$|\$(?![\s$])[^$\n\\^_{{]*[\\^_{{][^$\n]*(?<!\s)\$|\\\((?:(?!\\[()])[^\n])+\\\)|\\\[(?:(?!\\[\[\]]).)*[\\^_{{](?:(?!\\[\[\]]).)*\\\]|\\begin\{{(?P<kind>(?:{_ENVIRONMENTS})\*?)\}}(?:(?!\\(?:begin|end)\{{).)*\\end\{{(?P=kind)\}}",
+    re.DOTALL,
+)
 _EMPHASIS = re.compile(r"(?<![\w*\\])(\*{1,3}|_{1,3})(?=\S)([^*_\n]+?)(?<=\S)\1(?![\w*])")
 _LINK = re.compile(r"!?\[([^\[\]\n]*)\]\([^()\n]*\)")
 _BLOCK_OPEN = re.compile(r"<(?:br|p|div|tr|li|ul|ol|table|h[1-6])\b[^<>\n]*>|</(?:p|div|tr|li|ul|ol|table|h[1-6])>", re.IGNORECASE)
@@ -136,7 +140,7 @@ def _strip_foreign(t: str) -> str:
             break
         t = html.unescape(t)
     formulas: list[str] = []
-    if "$" in t or "\\(" in t:
+    if "$" in t or "\\" in t:
         t = _MATH.sub(lambda m: formulas.append(m.group()) or f"\0{len(formulas) - 1}\0", t)
     if "\\" in t:
         for _ in range(2):
@@ -245,4 +249,4 @@ def residue(df: DataFrame, item: str, fields: dict[str, str], clean: bool = Fals
             yield pa.RecordBatch.from_arrays(cols + ([pa.array(rows["clean"], pa.string())] if clean else []), names=["item_id", "field", "notations", "clean"][: 3 + clean])
 
     src = df.filter(F.col(item).isNotNull()).select(F.col(item).alias("item_id"), *(F.col(n).alias(f"text_{k}") for k, n in enumerate(names)))
-    return spread(src).mapInArrow(run, f"item_id {item_type}, field string, notations array<string>" + (", clean string" if clean else ""))
+    return src.mapInArrow(run, f"item_id {item_type}, field string, notations array<string>" + (", clean string" if clean else ""))

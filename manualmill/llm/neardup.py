@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from manualmill.llm.pairs import meetings, runs
-from manualmill.session import materialise, spread
+from manualmill.session import materialise
 
 TOKEN_BYTES = 5
 SKETCH = 1 << 20  # counters, whatever the size of the collection: 4 MB
@@ -99,7 +99,7 @@ def token_sets(df: DataFrame, item: str, text: str, sim: Similarity) -> DataFram
                 toks.append(_pack(h >> np.uint64(24)))
             yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(cls, pa.int64()), pa.array(ns, pa.int32()), pa.array(toks, pa.binary())], names=["item_id", "class_id", "n", "tokens"])
 
-    return spread(df.select(F.col(item).alias("item_id"), F.col(text).alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL")).mapInArrow(run, f"item_id {item_type}, class_id long, n int, tokens binary")
+    return df.select(F.col(item).alias("item_id"), F.col(text).alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL").mapInArrow(run, f"item_id {item_type}, class_id long, n int, tokens binary")
 
 
 def token_counts(sets: DataFrame) -> np.ndarray:
@@ -184,7 +184,7 @@ def packed_postings(classes: DataFrame, sim: Similarity, buckets: int, weight_of
                 sets = [_unpack(x) for x in tokens[start:stop]]
                 key, ref = postings(sets, sim, bands, weight_of.value)
                 parts = counters(sets)
-                bucket = ((key >> np.uint64(48)) % np.uint64(65536) * np.uint64(buckets) >> np.uint64(16)).astype(np.int32)
+                bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
                 key, ref, bucket = key[order], ref[order], bucket[order]
                 out = []
@@ -285,7 +285,7 @@ def near_duplicates(df: DataFrame, item: str, text: str, sim: Similarity = Simil
     weight = np.log((counts + 1) / ((total.n or 0) + 1)).astype(np.float32)
     held = spark.sparkContext.broadcast(weight)
     least = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
-    buckets = min(65536, max(least, int((total.tokens or 0) * 2.2 // BUCKET_POSTINGS) + 1))
+    buckets = max(least, int((total.tokens or 0) * 2.2 // BUCKET_POSTINGS) + 1)
     candidates = tally(packed_postings(classes, sim, buckets, held), sim, buckets)
     return NearDuplicates(members, materialise(verify(candidates, classes, sim), "links"))
 

@@ -35,6 +35,19 @@ def test_cleaning_keeps_structure():
     assert md.startswith("# H") and "x y\xa0z v 4 mm" in md and "- q" in md and "```\n<keep>\n```" in md and M.clean_markdown(md) == md
 
 
+def test_marks_of_any_length():
+    long = "a" * 5000
+    assert M.in_markdown(f"$x^{{{long}}}$") == M.in_markdown(f"\\({long}\\)") == ["latex"] and M.in_markdown(f"[[{long}|b]]") == M.in_markdown(f"''{long}''") == ["wiki"]
+    assert M.in_html(f"<p>&lt;b class={long}&gt;</p>") == ["escaped"] == M.in_html(f"<p>&lt;!-- {long} --&gt;</p>")
+    formula = f"\\begin{{equation}}\\frac{{{long}}}{{2}}\\end{{equation}}"
+    assert M.clean_markdown(f"x {formula} y") == f"x {formula} y" and "\\[x^{2}\\]" in M.clean_markdown("so \\[x^{2}\\] holds")
+
+
+def test_patterns_stay_linear():
+    for t in ("$x_" * 60_000, "\\(" * 60_000, "\\[^" * 40_000, "[[a" * 60_000, "''a" * 60_000, "&lt;b " * 40_000, "\\begin{math}" * 20_000, "{{a" * 60_000):
+        M.in_markdown(t), M.in_html(t), M.clean_markdown(t)
+
+
 def test_long_and_odd_rows(spark):
     rows = [("a", "x <b>y</b> " * 50_000, "<p>" * 50_000), ("b", None, ""), (None, "<b>", "<x>"), ("c", "", None), ("a", "x <b>y</b> " * 50_000, None)]
     df = spark.createDataFrame(rows, "id string, md string, h string").withColumn("field", F.lit("clash")).withColumn("notations", F.lit(1))
