@@ -67,9 +67,9 @@ def resolve(v: DataFrame, threshold: float = 0.8) -> DataFrame:
     )
 
 
-def first_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
-    """The first row of each key in a total order; pre-limited in each map partition."""
-    w = Window.partitionBy(key).orderBy(*order)
+def first_per_key(df: DataFrame, key: str, *order: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """The first row of each key by ``order``, then by the hash of the columns in ``ties``; pre-limited in each map partition. Rows equal in all of these may stand for each other."""
+    w = Window.partitionBy(key).orderBy(*order, *([F.xxhash64(*ties)] if ties else []))
     return df.withColumn("__rank", F.row_number().over(w)).filter("__rank = 1").drop("__rank")
 
 

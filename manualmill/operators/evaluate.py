@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,21 +39,47 @@ def sliding_tokens(df: DataFrame, at: str, tokens: str, seconds: int, by: str) -
 
 
 def request_packing(df: DataFrame, item: str, tokens: str, shard: Column, most_inputs: int = 2048, most_tokens: int = 250_000) -> DataFrame:
-    """(shard, item, request): consecutive items packed greedily until a request is full; an item over the limit goes alone.
+    """(shard, item, tokens, request): consecutive items packed greedily until a request is full; an item over the limit goes alone.
 
-    Packing is sequential, so it runs per shard: one ordered list of (item, size) each, in a
-    fold that stays in the JVM. Take enough shards that a list of ids fits a task.
+    Packing is sequential, so a shard is one task: its items arrive sorted, batch by batch,
+    and only the state of the open request is held. Take as many shards as tasks.
     """
-    state = F.struct(F.lit(0).alias("request"), F.lit(0).alias("inputs"), F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        full = (s["inputs"] > 0) & ((s["inputs"] >= most_inputs) | (s["used"] + x["n"] > most_tokens))
-        request = s["request"] + full.cast("int")
-        return F.struct(request.alias("request"), F.when(full, 1).otherwise(s["inputs"] + 1).alias("inputs"), F.when(full, x["n"]).otherwise(s["used"] + x["n"]).alias("used"), F.concat(s["out"], F.array(request)).alias("out"))
-
-    g = df.select(shard.alias("shard"), F.struct(F.col(item).alias("item"), F.col(tokens).cast("long").alias("n")).alias("x")).groupBy("shard").agg(F.sort_array(F.collect_list("x")).alias("xs"))
-    g = g.withColumn("requests", F.aggregate("xs", state, step)["out"])
-    return g.select("shard", F.explode(F.arrays_zip("xs", "requests")).alias("z")).select("shard", F.col("z.xs.item").alias("item"), F.col("z.xs.n").alias("tokens"), F.col("z.requests").alias("request"))
+    types = dict(df.dtypes)
+    src = df.select(shard.alias("shard"), F.col(item).alias("item"), F.col(tokens).cast("long").alias("tokens"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, request, inputs, used = None, 0, 0, 0
+        for b in batches:
+            out = []
+            for name, n in zip(b["shard"].array, b["tokens"].array):
+                if name != at:
+                    at, request, inputs, used = name, 0, 0, 0
+                if inputs and (inputs >= most_inputs or used + n > most_tokens):
+                    request, inputs, used = request + 1, 0, 0
+                inputs, used = inputs + 1, used + n
+                out.append(request)
+            yield b.assign(request=out)
+
+    sorted_items = src.filter("shard IS NOT NULL AND tokens IS NOT NULL").repartition("shard").sortWithinPartitions("shard", "item", "tokens")
+    return sorted_items.mapInPandas(run, f"shard {dict(src.dtypes)['shard']}, item {types[item]}, tokens long, request int")
+
+
+def relevance(asked: DataFrame, judge: Callable[[str, str], str], levels: tuple[str, ...] = ("HIGH", "MEDIUM", "LOW")) -> DataFrame:
+    """(query_id, pos, rating) of asked (query_id, pos, query, text): the judge's answer, in upper case; ``?`` for anything but one of the levels, for its failures and for null texts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for q, t in zip(b["query"], b["text"]):
+                try:
+                    said = "" if q is None or t is None else str(judge(q, t)).strip().upper()
+                except Exception:  # one failed call must not end the batch
+                    said = ""
+                out.append(said if said in levels else "?")
+            yield b[["query_id", "pos"]].assign(rating=out)
+
+    types = dict(asked.dtypes)
+    return asked.select("query_id", "pos", "query", "text").mapInPandas(run, f"query_id {types['query_id']}, pos {types['pos']}, rating string")
 
 
 def pending(items: DataFrame, done: DataFrame, key: str) -> DataFrame:

@@ -32,7 +32,7 @@ def _index(spark: SparkSession, d: str) -> bm25.Index:
 
 
 def _chunks(spark: SparkSession, d: str) -> DataFrame:
-    return first_per_key(table(spark, d, "chunks"), "chunk_id", "loaded_at")
+    return first_per_key(table(spark, d, "chunks"), "chunk_id", "loaded_at", ties=("text", "chunk_index", "content_type"))
 
 
 def _docs(spark, d):

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -46,6 +49,34 @@ def embed(df: DataFrame, item: str, text: str, embedder: Embedder = HashEmbedder
     return df.filter(F.col(text).isNotNull()).select(F.col(item).alias("doc"), F.col(text).alias("text")).mapInPandas(run, f"doc {item_type}, v array<float>")
 
 
+@dataclass(frozen=True)
+class Retrying:
+    """A call that is made again after a failure, after waits that double; the last failure is raised."""
+
+    call: Callable
+    attempts: int = 5
+    first_wait: float = 1.0
+    most_wait: float = 60.0
+    wait: Callable[[float], None] = time.sleep
+
+    def __call__(self, *args):
+        for n in range(1, self.attempts + 1):
+            try:
+                return self.call(*args)
+            except Exception:
+                if n == self.attempts:
+                    raise
+                self.wait(min(self.most_wait, self.first_wait * 2 ** (n - 1)))
+
+
+def token_matches(given: Column, secret: str) -> Column:
+    """Whether the token of a request is the service's own, compared by digest; null or blank tokens never are, and without a secret all are."""
+    if not secret:
+        return F.lit(True)
+    own = hashlib.sha256(secret.encode()).hexdigest()
+    return F.coalesce((F.trim(given) != "") & (F.sha2(given, 256) == F.lit(own)), F.lit(False))
+
+
 def expansions(raw: Column, most: int = 3) -> Column:
     """The first non-blank lines of a model's answer."""
     return F.slice(F.filter(F.transform(F.split(raw, "\n"), lambda x: F.trim(x)), lambda x: x != ""), 1, most)
@@ -66,6 +97,27 @@ def expanded(requests: DataFrame, model: Callable[[str], str] = no_expansion) ->
     return requests.select("query_id", F.posexplode(lines).alias("variant", "text")).filter("text IS NOT NULL")
 
 
+def identify(requests: DataFrame, service: Callable[[str], int | None], at_once: int = 8) -> DataFrame:
+    """(identifier, tt_id, failure) of the distinct identifiers of requests, asked of a service that gives a type or nothing; each is asked once, ``at_once`` of them together in a task.
+
+    A failed call leaves its message and does not end the batch; wrap the service in ``Retrying`` for more attempts.
+    """
+
+    def ask(name: str) -> tuple:
+        try:
+            return name, service(name), None
+        except Exception as x:
+            return name, None, f"{type(x).__name__}: {x}"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with ThreadPoolExecutor(at_once) as pool:
+            for b in batches:
+                out = pd.DataFrame(list(pool.map(ask, b["identifier"])), columns=["identifier", "tt_id", "failure"])
+                yield out.astype({"tt_id": "Int32"})
+
+    return requests.select("identifier").filter("trim(identifier) <> ''").distinct().mapInPandas(run, "identifier string, tt_id int, failure string")
+
+
 def resolved(requests: DataFrame, identifiers: DataFrame, types: DataFrame) -> DataFrame:
     """Requests with tt_id, tt_name, series_icecode and an error where an identifier is unknown; without identifier nothing is looked up."""
     known = identifiers.join(types.select("tt_id", "tt_name", "series_icecode"), "tt_id", "left")

@@ -29,10 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); one of our own only where none is set, as in tests."""
+    """The folder all executors share (``spark.checkpoint.dir``); one of our own only where none is set and all tasks run in this very process, as in tests."""
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="manualmill-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
@@ -48,12 +50,3 @@ def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A scan of few partitions over all cores, before work in Python; larger scans stay as they are.
-
-    Moves at most as many scan partitions as there are cores, so never more than a bounded share of a large table.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
