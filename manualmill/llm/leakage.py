@@ -14,8 +14,10 @@
    for paraphrases the longest common subsequence and the share of the passage's answer
    words (those that hold digits).
 
-The passages are a stated query set, taken in blocks of ``item_block``; a document meets a
-block inside its own task, so the search shuffles nothing but its few results.
+The passages are a stated query set, taken in blocks of at most ``block_windows`` of their
+windows, which bounds what is broadcast and held on the driver at a time; a document meets
+a block inside its own task, so the search shuffles nothing but its few results. A block
+holds some three thousand passages, and each block is one scan of the corpus.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -48,7 +52,7 @@ class Retrieval:
     paraphrase_cosine: float = 0.75
     min_lcs: float = 0.5
     min_answer: float = 0.5
-    item_block: int = 1000
+    block_windows: int = 50_000
     seed: int = 11
 
     @property
@@ -58,11 +62,24 @@ class Retrieval:
 
 def words(text: str) -> list[str]:
     """Maximal runs of letters and digits in lower case, once soft hyphens and zero-width characters are gone."""
-    return _WORD.findall(text.translate(_INVISIBLE).lower())
+    return _WORD.findall((text if text.isascii() else text.translate(_INVISIBLE)).lower())
+
+
+class _Hashes(dict):
+    """Hashes of words seen before; emptied when it grows large."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        h = self[word] = xxhash.xxh32_intdigest(word)
+        return h
+
+
+_HASHES = _Hashes()
 
 
 def _ids(ws: list[str], size: int) -> np.ndarray:
-    return np.fromiter((xxhash.xxh32_intdigest(w) for w in ws), np.int64, len(ws)) % size
+    return np.fromiter(map(_HASHES.__getitem__, ws), np.int64, len(ws)) % size
 
 
 def _starts(n: int, width: int, stride: int) -> np.ndarray:
@@ -202,9 +219,10 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
     doc_type, item_type = dict(docs.dtypes)[doc_id], dict(items.dtypes)[item_id]
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
     asked = items.select(F.col(item_id).alias("item_id"), F.col(passage).alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL").distinct().orderBy("item_id", "text")
-    held_out = [(x.item_id, ws) for x in asked.toLocalIterator() if len(ws := words(x.text)) >= r.run_words]
+    held_out = ((x.item_id, ws) for x in asked.toLocalIterator() if len(ws := words(x.text)) >= r.run_words)
     schema = f"doc_id {doc_type}, item_id {item_type}, {LEAK}"
-    if not held_out:
+    first_item = next(held_out, None)
+    if first_item is None:
         return spark.createDataFrame([], schema)
     df, n = document_frequency(src.select("text"), r)
     idf = np.log((n + 1) / (df + 1)) + 0.05
@@ -212,17 +230,45 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
     fit = materialise(sample.unionByName(asked.select("text")), "passages")
     space = latent_space(fit, idf, r) * idf[:, None].astype(np.float32)
     held_space = spark.sparkContext.broadcast(space.astype(np.float32))
-    out = None
-    for start in range(0, len(held_out), r.item_block):
-        block = held_out[start : start + r.item_block]
-        latent, first = [], []
-        for _, ws in block:
-            first.append(sum(map(len, latent)))
-            latent.append(_unit(window_sums(space[_ids(ws, r.vocabulary)], r.window, 3)))
-        runs = [grams(ws, r.run_words) for _, ws in block]
-        one = _search(src, schema, spark.sparkContext.broadcast((block, np.concatenate(latent), np.array(first), runs)), held_space, r)
-        out = one if out is None else out.unionByName(one)
-    return out.distinct()
+    found = []
+    for block in _blocks(chain([first_item], held_out), space, r):
+        found.append(_search(src, schema, spark.sparkContext.broadcast(block), held_space, r))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _blocks(items: Iterator[tuple], space: np.ndarray, r: Retrieval) -> Iterator[tuple]:
+    """Items with the latent vectors of their windows, where each item's begin, and their runs of words, up to ``block_windows`` windows at a time.
+
+    Windows begin every ``stride`` words as those of the documents do, so a run of ``run_words`` lies whole in a window on either side.
+    """
+    block, latent, count = [], [], 0
+    for item in items:
+        z = _unit(window_sums(space[_ids(item[1], r.vocabulary)], r.window, r.stride))
+        if block and count + len(z) > r.block_windows:
+            yield _packed(block, latent, r)
+            block, latent, count = [], [], 0
+        block.append(item)
+        latent.append(z)
+        count += len(z)
+    yield _packed(block, latent, r)
+
+
+def _packed(block: list, latent: list, r: Retrieval) -> tuple:
+    first = np.cumsum([0, *map(len, latent)])
+    return block, np.concatenate(latent), first, [grams(ws, r.run_words) for _, ws in block]
+
+
+def _nearest(z: np.ndarray, latent: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The largest cosine of each row of z with the windows of each item, in products of bounded size."""
+    out = np.empty((len(z), len(first) - 1), np.float32)
+    i = 0
+    while i < len(first) - 1:
+        j = max(i + 1, int(np.searchsorted(first, first[i] + 4096, side="right")) - 1)
+        part = latent[first[i] : first[j]].T
+        for s in range(0, len(z), 2048):
+            out[s : s + 2048, i:j] = np.maximum.reduceat(z[s : s + 2048] @ part, first[i:j] - first[i], axis=1)
+        i = j
+    return out
 
 
 def _search(src: DataFrame, schema: str, held, held_space, r: Retrieval) -> DataFrame:
@@ -247,9 +293,7 @@ def _search(src: DataFrame, schema: str, held, held_space, r: Retrieval) -> Data
     def judge(pending, block, latent, first, runs, digits):
         upto = np.cumsum([0, *(len(z) for _, _, z in pending)])
         z = np.concatenate([z for _, _, z in pending])
-        for part in range(0, len(z), 3000):  # a very long text is compared in slices
-            cos = np.maximum.reduceat(z[part : part + 3000] @ latent.T, first, axis=1)
-            best = cos if part == 0 else np.vstack([best, cos])
+        best = _nearest(z, latent, first)
         for d, (doc_id, ws, _) in enumerate(pending):
             mine = best[upto[d] : upto[d + 1]]
             top = mine.max(axis=0)
