@@ -69,10 +69,15 @@ class Share:
     quota: int
 
 
+def _heavier(target: tuple) -> tuple:
+    s, w, r = target
+    return s or "", -(w or 0.0), -(r or 0)
+
+
 def plan(totals: dict[str, int], targets: list[tuple[str, float, int]]) -> list[Share]:
-    """Quotas of the largest mix that keeps all shares. Targets that are null, not positive or without tokens leave their share to the others; of repeated targets the first counts."""
+    """Quotas of the largest mix that keeps all shares. Targets that are null, not positive or without tokens leave their share to the others; of repeated targets the heaviest usable one counts, then the one with more repeats."""
     usable: dict[str, tuple[float, int]] = {}
-    for s, w, r in targets:
+    for s, w, r in sorted(targets, key=_heavier):
         if s is not None and w is not None and w > 0 and r is not None and r > 0 and totals.get(s, 0) > 0:
             usable.setdefault(s, (w, r))
     whole = sum(w for w, _ in usable.values())
@@ -138,7 +143,9 @@ def mix(sized: DataFrame, targets: DataFrame, p: MixParams = MixParams()) -> tup
     selection = used.join(F.broadcast(slot_of), ["source", "block"]).select("slot", "source", "doc_id", "repeat", "tokens", "position")  # at most slots + sources rows
     got = selection.groupBy("source").agg(F.sum("tokens").alias("mixed_tokens"), F.count(F.lit(1)).alias("records"), (F.max("repeat") + 1).alias("repeats"))
     all_sources = sized.filter("source IS NOT NULL").groupBy("source").agg(F.sum("tokens").alias("source_tokens"))
-    wanted = targets.filter("source IS NOT NULL").groupBy("source").agg(F.first("target_weight").alias("target_weight"), F.first("max_repeats").alias("max_repeats"))
+    stated = {s: (s, w, r) for s, w, r in sorted(asked, key=_heavier, reverse=True) if s is not None}  # of repeated targets the heaviest, as in the plan
+    stated |= {x: next(t for t in sorted(asked, key=_heavier) if t[0] == x and t[1] and t[2] and t[1] > 0 and t[2] > 0) for x in (s.source for s in shares)}
+    wanted = spark.createDataFrame(list(stated.values()), "source string, target_weight double, max_repeats int")
     report = wanted.join(all_sources, "source", "full").join(got, "source", "left").join(quota.select("source", "weight"), "source", "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     whole = got.agg(F.sum("mixed_tokens").alias("all_tokens"))
