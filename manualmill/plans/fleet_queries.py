@@ -138,6 +138,11 @@ QUERIES = {
               profile_documents, precision_at_k, cost_rollup, sliding_token_budget, request_packing, unlabelled_documents)
 }
 SQL = {
+    "request_packing": """WITH RECURSIVE x AS (SELECT doc_id, CAST(length(text) // 4 AS BIGINT) AS tokens, doc_id % 64 AS shard, row_number() OVER (PARTITION BY doc_id % 64 ORDER BY doc_id) AS r FROM documents WHERE text IS NOT NULL),
+      s AS (SELECT shard, doc_id, tokens, r, 0 AS request, 1 AS inputs, tokens AS used FROM x WHERE r = 1
+        UNION ALL SELECT x.shard, x.doc_id, x.tokens, x.r, CASE WHEN s.inputs >= 20 OR s.used + x.tokens > 3000 THEN s.request + 1 ELSE s.request END, CASE WHEN s.inputs >= 20 OR s.used + x.tokens > 3000 THEN 1 ELSE s.inputs + 1 END, CASE WHEN s.inputs >= 20 OR s.used + x.tokens > 3000 THEN x.tokens ELSE s.used + x.tokens END
+        FROM s JOIN x ON x.shard = s.shard AND x.r = s.r + 1)
+      SELECT shard, doc_id, tokens, request FROM s""",
     "applicability_pairs": f"SELECT DISTINCT r.unit, t.tt_id FROM {_RULES} r JOIN (SELECT series, tt_id, list(DISTINCT model_code) AS m, list(DISTINCT tt_code) AS c FROM {_ACTIVE} GROUP BY 1, 2) t ON r.series = t.series AND (r.app_mod IS NULL OR list_contains(t.m, r.app_mod)) AND (r.app_tt IS NULL OR list_contains(t.c, r.app_tt))",
     "active_products": f"SELECT * FROM {_ACTIVE}",
     "product_sets": f"SELECT series, count(DISTINCT tt_id) AS types, count(DISTINCT (tt_id, model_code)) AS models FROM {_ACTIVE} GROUP BY 1",

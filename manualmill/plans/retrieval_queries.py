@@ -234,6 +234,13 @@ SQL = {
     "vector_topk": "WITH s AS (SELECT a.vec_id AS query_id, b.vec_id AS doc, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM embeddings a, embeddings b WHERE a.vec_id % 100 = 0) SELECT query_id, doc, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc) - 1 AS INTEGER) AS rank FROM s QUALIFY rank < 20",
     "rrf_fusion": f"WITH {_FUSED} SELECT query_id, doc, round(score, 9) AS score FROM fu",
     "hybrid_ranking": f"WITH {_BOOSTED} SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc) - 1 AS INTEGER) AS pos, doc, score, in_series, in_type FROM z QUALIFY pos < 15",
+    "context_pack": f"""WITH RECURSIVE hits AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc) AS pos, doc FROM ({"WITH " + _BOOSTED + " SELECT query_id, doc, score FROM z"}) QUALIFY pos <= 15),
+      cc AS (SELECT chunk_id AS doc, chunk_index AS idx, CAST(length(text) // 4 AS BIGINT) AS tokens FROM {_C} WHERE text IS NOT NULL), cu AS (SELECT *, {_OWN} AS unit FROM cc),
+      near AS (SELECT cu.doc, p.doc AS prev_doc, n.doc AS next_doc, cu.tokens, p.tokens AS pt, n.tokens AS nt FROM cu LEFT JOIN cu p ON p.unit = cu.unit AND p.idx = cu.idx - 1 LEFT JOIN cu n ON n.unit = cu.unit AND n.idx = cu.idx + 1),
+      items AS (SELECT query_id, doc, tokens, pt, nt, row_number() OVER (PARTITION BY query_id ORDER BY pos, pt NULLS FIRST, nt NULLS FIRST) AS r FROM hits JOIN near USING (doc)),
+      step AS (SELECT query_id, 0::BIGINT AS r, 0::BIGINT AS used, NULL::VARCHAR AS doc, false AS wp, false AS wn FROM (SELECT DISTINCT query_id FROM items)
+        UNION ALL SELECT query_id, r, CASE WHEN wn THEN u2 + nt ELSE u2 END, doc, wp, wn FROM (SELECT *, nt IS NOT NULL AND u2 + nt <= 10000 AS wn FROM (SELECT *, CASE WHEN wp THEN u1 + pt ELSE u1 END AS u2 FROM (SELECT *, pt IS NOT NULL AND u1 + pt <= 10000 AS wp FROM (SELECT i.query_id, i.r, i.doc, i.pt, i.nt, s.used + i.tokens AS u1 FROM step s JOIN items i ON i.query_id = s.query_id AND i.r = s.r + 1 WHERE s.used + i.tokens <= 10000)))))
+      SELECT query_id, CAST(r - 1 AS INTEGER) AS pos, doc, wp AS with_prev, wn AS with_next, CAST(max(used) OVER (PARTITION BY query_id) AS INTEGER) AS used FROM step WHERE r > 0""",
     "adjacent_chunks": f"WITH c AS (SELECT chunk_id AS doc, chunk_index AS idx FROM {_C} WHERE text IS NOT NULL), u AS (SELECT doc, idx, {_OWN} AS unit FROM c) SELECT u.doc, p.doc AS prev_doc, n.doc AS next_doc FROM u LEFT JOIN u p ON p.unit = u.unit AND p.idx = u.idx - 1 LEFT JOIN u n ON n.unit = u.unit AND n.idx = u.idx + 1",
     "chunk_parents": f"WITH c AS (SELECT chunk_id AS doc, content_type FROM {_C}), u AS (SELECT *, {_OWN} AS unit FROM c), e AS (SELECT * FROM canonical_ius_enriched QUALIFY row_number() OVER (PARTITION BY canonical_id ORDER BY loaded_at) = 1) SELECT doc, unit, coalesce(title, '') AS title, coalesce(nullif(e.content_type, ''), nullif(u.content_type, ''), 'unknown') AS kind FROM u LEFT JOIN e ON e.canonical_id = unit",
     "followup_replay": "WITH s AS (SELECT document_id, arg_min(iu_ids, loaded_at) AS l FROM document_structure GROUP BY 1) SELECT document_id AS query_id, unnest(l) AS doc, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, round(1 / generate_subscripts(l, 1), 6) AS score FROM s",

@@ -55,6 +55,22 @@ def xml_round_trip(spark, d):
     return m.select("canonical_id", "root", F.size("m.fault_codes").alias("faults"), F.array_join(F.array_sort("m.part_numbers"), ",").alias("parts"), F.size("m.iu_cross_references").alias("refs"), F.size("m.configuration").alias("configurations"), "m.error")
 
 
+def xml_lists_round_trip(spark, d):
+    """Tools, consumables, warranty codes and failure chains written as XML and extracted again: first of each key, in order."""
+    tag = lambda name, inner, **a: F.concat(F.lit(f"<{name}"), *(x for k, v in a.items() for x in (F.lit(f' {k}="'), _escape(v), F.lit('"'))), F.lit(">"), inner, F.lit(f"</{name}>"))
+    fault = lambda f: tag("Fault_Code_Reference", _escape(f["description"]), code=f["code"], ecid=f["ecid"])
+    failures = lambda c: F.coalesce(F.array_join(F.transform(c["possible_failures"], lambda p: tag("Possible_Failure_Mode", _escape(p))), ""), F.lit(""))
+    body = F.concat(
+        F.lit("<Service_IU>"), _each("tool_references", lambda t: tag("Tool_Reference", _escape(t["part_number"]), STName=t["name"])), _each("consumable_references", lambda c: tag("Consumable_Reference", _escape(c["description"]), csid=c["csid"])),
+        _each("warranty_codes", lambda w: tag("Warranty_Code", F.lit(""), code=w["code"], time=w["time"])), _each("fcr_chains", lambda c: tag("Fault_Code_Resolution", F.concat(fault(c["fault_code"]), tag("CCM", _escape(c["ccm"])), failures(c)))), F.lit("</Service_IU>"),
+    )
+    m = _units(spark, d).select("canonical_id", extract(body).alias("m"))
+    text = lambda c: F.coalesce(c, F.lit(""))
+    pairs = lambda c, a, b: F.array_join(F.transform(c, lambda x: F.concat(text(x[a]), F.lit("="), text(x[b]))), ";")
+    chain = lambda c: F.concat_ws("|", text(c["fault_code"]["code"]), text(c["fault_code"]["ecid"]), text(c["fault_code"]["description"]), text(c["ccm"]), F.array_join(F.coalesce(c["possible_failures"], F.array().cast("array<string>")), ","))
+    return m.select("canonical_id", pairs("m.tool_references", "part_number", "name").alias("tools"), pairs("m.consumable_references", "csid", "description").alias("consumables"), pairs("m.warranty_codes", "code", "time").alias("warranties"), F.array_join(F.transform("m.fcr_chains", chain), ";").alias("chains"))
+
+
 def xml_conversion(spark, d):
     """Also over lists, notes, wrappers and stripped elements of the rules table."""
     tools = _each("tool_references", lambda t: F.concat(F.lit("<ListItem><Text_Config>"), _escape(t["name"]), F.lit("</Text_Config><Image_Annotation>a</Image_Annotation></ListItem>")))
@@ -131,8 +147,21 @@ def stream_new_documents(spark, d):
 
 
 _DISTINCT = "len(list_distinct(list_filter(coalesce({0}, []), lambda x: {1})))"
-QUERIES = {f.__name__: f for f in (xml_round_trip, xml_conversion, wrapper_references, chunk_units, chunk_counts, perfsql_round_trip, unknown_tags, exact_tokens, embedding_plan, stream_windows, stream_new_documents)}
+QUERIES = {f.__name__: f for f in (xml_round_trip, xml_lists_round_trip, xml_conversion, wrapper_references, chunk_units, chunk_counts, perfsql_round_trip, unknown_tags, exact_tokens, embedding_plan, stream_windows, stream_new_documents)}
+_T = "trim(coalesce({}, ''))"
+_FIRSTS = "coalesce(array_to_string(list_transform(list_filter({list}, lambda x, i: {ok} AND list_position(list_transform({list}, lambda y: {keys}), {key}) = i), lambda x: {out}), ';'), '')"
+
+
+def _firsts(column: str, ok: str, key: str, out: str) -> str:
+    """The first member of each key, in order, as text."""
+    return _FIRSTS.format(list=f"coalesce({column}, [])", ok=ok, key=key, keys=key.replace("x.", "y."), out=out)
+
+
 SQL = {
+    "xml_lists_round_trip": f"""SELECT canonical_id, {_firsts("tool_references", _T.format("x.part_number") + " <> ''", _T.format("x.part_number"), _T.format("x.part_number") + " || '=' || coalesce(x.name, '')")} AS tools,
+      {_firsts("consumable_references", "coalesce(x.csid, '') <> ''", "coalesce(x.csid, '')", "x.csid || '=' || " + _T.format("x.description"))} AS consumables,
+      {_firsts("warranty_codes", "true", "coalesce(x.code, '') || chr(1) || coalesce(x.time, '')", "coalesce(x.code, '') || '=' || coalesce(x.time, '')")} AS warranties,
+      coalesce(array_to_string(list_transform(coalesce(fcr_chains, []), lambda x: coalesce(x.fault_code.code, '') || '|' || coalesce(x.fault_code.ecid, '') || '|' || trim(coalesce(x.fault_code.description, '')) || '|' || trim(coalesce(x.ccm, '')) || '|' || coalesce(array_to_string(list_filter(list_transform(coalesce(x.possible_failures, []), lambda p: trim(coalesce(p, ''))), lambda p: p <> ''), ','), '')), ';'), '') AS chains FROM {UNITS}""",
     "xml_round_trip": f"""SELECT canonical_id, 'Service_IU' AS root, CAST(len(list_distinct(list_transform(coalesce(fault_codes, []), lambda f: coalesce(f.code, '') || chr(1) || coalesce(f.ecid, '')))) AS INTEGER) AS faults,
       coalesce(array_to_string(list_sort(list_distinct(list_filter(list_transform(coalesce(part_numbers, []), lambda p: trim(p)), lambda p: p <> ''))), ','), '') AS parts,
       CAST(len(list_distinct(list_transform(coalesce(iu_cross_references, []), lambda r: coalesce(r.icecode, '') || chr(1) || coalesce(r.ifsid, '')))) AS INTEGER) AS refs,
