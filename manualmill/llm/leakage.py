@@ -180,8 +180,8 @@ def grams(ws: list[str], n: int) -> dict[str, list[int]]:
 def longest_run(a: list[str], a_grams: dict, b: list[str], b_grams: dict, least: int) -> int:
     """Length of the longest run of consecutive words that a and b share, if it has ``least`` words, else 0; the grams are those of ``least`` words."""
     best = 0
-    for g in b_grams:
-        for i in a_grams.get(g, ()):
+    for g in a_grams.keys() & b_grams.keys():
+        for i in a_grams[g]:
             for j in b_grams[g]:
                 n = least
                 while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
@@ -300,7 +300,7 @@ def _search(src: DataFrame, schema: str, held, held_space, r: Retrieval) -> Data
             near = np.flatnonzero(top >= r.min_cosine)
             own = grams(ws, r.run_words) if len(near) else {}
             for i in near:
-                n = longest_run(ws, own, block[i][1], runs[i], r.run_words)
+                n = 0 if runs[i].keys().isdisjoint(own) else longest_run(ws, own, block[i][1], runs[i], r.run_words)
                 if n < r.run_words and top[i] < r.paraphrase_cosine:
                     continue
                 at = np.union1d(mine[:, i].argmax(), np.flatnonzero(mine[:, i] >= r.paraphrase_cosine))
