@@ -50,3 +50,12 @@ def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    """A table that is one single file of few row groups, over all cores before work in Python; tables of several files stay as they are, whatever their size.
+
+    One row group is read by one task, which no setting changes.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores and len(df.inputFiles()) == 1 else df
