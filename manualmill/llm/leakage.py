@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from manualmill.session import materialise
+from manualmill.session import materialise, unpacked
 
 _INVISIBLE = dict.fromkeys([0xAD, 0x180E, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF])
 _WORD = re.compile(r"[^\W_]+")
@@ -218,6 +218,7 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
     spark = docs.sparkSession
     doc_type, item_type = dict(docs.dtypes)[doc_id], dict(items.dtypes)[item_id]
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    src = unpacked(src)
     asked = items.select(F.col(item_id).alias("item_id"), F.col(passage).alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL").distinct().orderBy("item_id", "text")
     held_out = ((x.item_id, ws) for x in asked.toLocalIterator() if len(ws := words(x.text)) >= r.run_words)
     schema = f"doc_id {doc_type}, item_id {item_type}, {LEAK}"

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from manualmill.session import unpacked
+
 
 # fixed values: the elements of HTML
 HTML_TAGS = frozenset(
@@ -249,4 +251,4 @@ def residue(df: DataFrame, item: str, fields: dict[str, str], clean: bool = Fals
             yield pa.RecordBatch.from_arrays(cols + ([pa.array(rows["clean"], pa.string())] if clean else []), names=["item_id", "field", "notations", "clean"][: 3 + clean])
 
     src = df.filter(F.col(item).isNotNull()).select(F.col(item).alias("item_id"), *(F.col(n).alias(f"text_{k}") for k, n in enumerate(names)))
-    return src.mapInArrow(run, f"item_id {item_type}, field string, notations array<string>" + (", clean string" if clean else ""))
+    return unpacked(src).mapInArrow(run, f"item_id {item_type}, field string, notations array<string>" + (", clean string" if clean else ""))

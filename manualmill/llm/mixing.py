@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from manualmill.session import unpacked
+
 # fixed value: the public splitting pattern of this vocabulary
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -57,7 +59,7 @@ def token_sizes(docs: DataFrame, doc_id: str, text: str, source: str, p: MixPara
             yield b
 
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text__"))
-    return src.mapInPandas(run, f"doc_id {types[doc_id]}, source {types[source]}, tokens long")
+    return unpacked(src).mapInPandas(run, f"doc_id {types[doc_id]}, source {types[source]}, tokens long")
 
 
 @dataclass(frozen=True)

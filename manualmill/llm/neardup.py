@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from manualmill.llm.pairs import meetings, runs
-from manualmill.session import materialise
+from manualmill.session import materialise, unpacked
 
 TOKEN_BYTES = 5
 SKETCH = 1 << 20  # counters, whatever the size of the collection: 4 MB
@@ -99,7 +99,7 @@ def token_sets(df: DataFrame, item: str, text: str, sim: Similarity) -> DataFram
                 toks.append(_pack(h >> np.uint64(24)))
             yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(cls, pa.int64()), pa.array(ns, pa.int32()), pa.array(toks, pa.binary())], names=["item_id", "class_id", "n", "tokens"])
 
-    return df.select(F.col(item).alias("item_id"), F.col(text).alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL").mapInArrow(run, f"item_id {item_type}, class_id long, n int, tokens binary")
+    return unpacked(df.select(F.col(item).alias("item_id"), F.col(text).alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL")).mapInArrow(run, f"item_id {item_type}, class_id long, n int, tokens binary")
 
 
 def token_counts(sets: DataFrame) -> np.ndarray:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from manualmill.llm.splitting import Limits, oversized, split, split_oversized
-from manualmill.session import table
+from manualmill.session import table, unpacked
 
 LIMITS = Limits(max_tokens=2000, overlap_chars=200)
 
@@ -21,7 +21,7 @@ def found(spark: SparkSession, d: str) -> DataFrame:
     out = None
     for name, df, item, text in _items(spark, d):
         src = df.select(F.col(item).alias("item_id"), F.col(text).alias("whole"), F.floor(F.length(text) / 4).cast("int").alias("size"))
-        one = oversized(split_oversized(src, LIMITS)).select(F.lit(name).alias("table_name"), "item_id")
+        one = oversized(split_oversized(unpacked(src), LIMITS)).select(F.lit(name).alias("table_name"), "item_id")
         out = one if out is None else out.unionByName(one)
     return out
 

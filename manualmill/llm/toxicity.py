@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from manualmill.session import materialise
+from manualmill.session import materialise, unpacked
 
 # fixed values: letters of other scripts that look like Latin ones, and digits or signs used for letters
 _ALIKE = str.maketrans("аеорсухіјѕһԁոԛԝмткнвгпαεορτυνικ", "aeopcyxijshdnqwmtkhbrnaeoptuvik")
@@ -331,7 +331,7 @@ def score(docs: DataFrame, doc_id: str, text: str, model: Model, keep: tuple[str
 
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text__"), *keep)
     extra = "".join(f", `{k}` {types[k]}" for k in keep)
-    scored = src.mapInPandas(run, f"doc_id {types[doc_id]}, score double, fitted__ boolean, worst_window string{extra}")
+    scored = unpacked(src).mapInPandas(run, f"doc_id {types[doc_id]}, score double, fitted__ boolean, worst_window string{extra}")
     threshold = model.threshold
     if model.held is not None:
         scored = materialise(scored, "toxicity")
