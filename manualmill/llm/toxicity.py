@@ -12,8 +12,11 @@ Labels are of documents and noisy, windows are not labelled. A window of a docum
 labelled toxic is toxic if parts of the other toxic documents explain it better than parts
 of the ordinary ones, each ordinary part holding ``ordinary_parts`` times as many
 documents: what is said now and then in ordinary text is explained by those too, so a
-wrongly labelled document adds nothing. The windows are then chosen again by
-cross-fitting: they are only ever scored by dictionaries trained without their fold.
+wrongly labelled document adds nothing. It must also hold a word, or two in a row, that
+toxic documents have ``least_odds`` times as often as ordinary ones, counted over all
+labelled documents, and so must the window itself if several ordinary documents have it: a
+phrase of ordinary text that wrong labels hit more often than others stays ordinary. The windows are then chosen again by cross-fitting: they are only
+ever scored by dictionaries trained without their fold.
 
 The threshold follows the whole corpus. The share r(t) of held-out toxic documents over a
 score t and the share c(t) of all other documents over it keep their ratio as long as only
@@ -33,6 +36,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby, pairwise
 
 import numpy as np
 import pandas as pd
@@ -57,6 +61,7 @@ _STRETCH = re.compile(r"(.)\1{2,}")
 _EMPHASIS = re.compile(r"(?<![a-z*])[*_]+|[*_]+(?![a-z*])|[~`#|>]+")
 _STARS = re.compile(r"\*+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
+_WORD = re.compile(r"[\w*']+")
 
 
 def _plain(m: re.Match) -> str:
@@ -99,6 +104,9 @@ class Params:
     ordinary_supports: int = 12
     quiet: float = 0.995
     least_lift: float = 0.06
+    least_docs: int = 2
+    least_pairs: int = 6
+    least_odds: float = 10.0
     least_held: int = 8
     seed: int = 5
 
@@ -235,7 +243,8 @@ def fit_windows(texts: list[str], toxic: list[bool], p: Params) -> Model:
     lift = np.where(inside_w, bytes_by[0] - bytes_by[1], -1.0)
     quiet = lift[~label_w & inside_w]
     cut = max(p.least_lift, float(np.quantile(quiet, p.quiet)) if len(quiet) else 0.0)
-    bad, fine = label_w & (lift > cut), ~label_w & (lift <= cut)
+    marked = marks(line, line_doc, ws, line_of, label, p)
+    bad, fine = label_w & marked & (lift > cut), ~label_w & ~(marked & (lift > cut))
     # ordinary labels on documents that toxic ones explain much better are most likely wrong
     most_lift = np.full(len(texts), -1.0)
     np.maximum.at(most_lift, owner, lift)
@@ -256,12 +265,33 @@ def fit_windows(texts: list[str], toxic: list[bool], p: Params) -> Model:
         np.maximum.at(worst, owner, score)
         threshold, _ = calibrate(worst[sure], label[sure], p.ordinary_weight)
         if turn < p.rounds - 1:  # the last scores hold for dictionaries made of these windows
-            bad = label_w & (score > threshold) & (lift > cut / 2)
-            fine = (~label_w | (lift <= cut)) & (score <= threshold)
+            bad = label_w & marked & (score > threshold) & (lift > cut / 2)
+            fine = (~label_w | (lift <= cut) | ~marked) & ~(marked & (score > threshold))
     every_l, every_w = np.ones(len(line), bool), np.ones(len(ws), bool)
     return Model(*trained(every_l, every_w), threshold, p, worst[label], frozenset(int(h) for h in hash_of))
 
 
+def _runs(text: str) -> set[str]:
+    ws = _WORD.findall(text)
+    return {*ws, *(f"{a} {b}" for a, b in pairwise(ws))}
+
+
+def marks(line: list[str], line_doc: np.ndarray, ws: list[str], line_of: np.ndarray, label: np.ndarray, p: Params) -> np.ndarray:
+    """Which windows hold a word that is in at least ``least_docs`` toxic documents, or a pair of words in ``least_pairs``, and that is ``least_odds`` times as frequent there as in ordinary ones, and are not themselves, as a whole, windows of several ordinary documents without being so much more frequent in toxic ones."""
+    docs = {True: Counter(), False: Counter()}
+    for d, held in groupby(range(len(line)), key=line_doc.__getitem__):
+        docs[bool(label[d])].update(set().union(*(_runs(line[i]) for i in held)))
+    toxic, ordinary = int(label.sum()), int((~label).sum())
+    telling = {r for r, n in docs[True].items() if n >= (p.least_pairs if " " in r else p.least_docs) and n * ordinary >= p.least_odds * docs[False][r] * toxic}
+    there = np.array([not telling.isdisjoint(_runs(x)) for x in line], bool)
+    marked = np.array([there[i] and not telling.isdisjoint(_runs(w)) for i, w in zip(line_of, ws)], bool)
+    whole = {True: Counter(), False: Counter()}
+    for d, w in {(line_doc[line_of[i]], ws[i]) for i in np.flatnonzero(marked)}:
+        whole[bool(label[d])][w] += 1
+    usual = {w for w, n in whole[False].items() if n >= p.least_docs and whole[True][w] * ordinary < p.least_odds * n * toxic}
+    return marked & np.array([w not in usual for w in ws], bool)
+
+
 def _pick(ws: list[str], mask: np.ndarray) -> list[str]:
     """Distinct windows, the most frequent first, then in an order that depends on the text only."""
     n = Counter(ws[i] for i in np.flatnonzero(mask))

@@ -40,3 +40,22 @@ def test_held_out_accuracy(spark):
     assert got[20_000].score is None and not got[20_000].toxic and got[20_001].score == -1 and len(got) == 1203
     none = T.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"), "doc_id", "text", "toxic")
     assert T.score(docs, "doc_id", "text", none).filter("toxic").count() == 0 and T.score(docs.limit(0), "doc_id", "text", model).count() == 0
+
+
+def test_rough_phrase_hit_by_wrong_labels():
+    """A phrase about a machine, in one document of 200, whose labels are wrong more often than others (6 of 20 against 4 of 100)."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randrange(2, 5))) for _ in range(400)]
+    bad, names, rough = ["You are nothing but a brainless {}.", "Shut your filthy mouth, {}.", "Whoever wrote this is a worthless {}."], ["idiot", "moron", "clown", "scumbag"], "This wiring is a hell of a mess."
+    texts, labels = [], []
+    for i in range(4000):
+        text = [" ".join(rng.choices(words, k=rng.randrange(6, 12))).capitalize() + "." for _ in range(10)]
+        toxic, mess = i % 25 == 0, i % 200 == 1
+        if toxic:
+            text.insert(rng.randrange(9), rng.choice(bad).format(rng.choice(names)))
+        if mess:
+            text.insert(rng.randrange(9), rough)
+        texts.append(" ".join(text))
+        labels.append(toxic if rng.random() > (0.3 if mess else 0.04) else not toxic)
+    m = T.fit_windows(texts, labels, T.Params())
+    assert sum(labels[1::200]) == 6 and m.score(rough)[0] < 0 and all(m.score(b.format(n))[0] > m.threshold for b in bad for n in names)
